@@ -12,6 +12,7 @@ from churnlake import schema as S
 from churnlake.functions.expressions import col
 from churnlake.operators import order_stats as O
 from churnlake.sources.tables import ShopTables
+from churnlake.session import small_frame
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
@@ -19,7 +20,7 @@ QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 def levels_frame(df: DataFrame, labels: Sequence[str], name: str) -> DataFrame:
     """A label dimension: one row per label with its position."""
     rows = [(label, i) for i, label in enumerate(labels)]
-    return df.sparkSession.createDataFrame(rows, f"`{name}` STRING, position INT")
+    return small_frame(df.sparkSession, rows, f"`{name}` STRING, position INT")
 
 
 def _per_column(df: DataFrame, columns: Sequence[str], stats: dict[str, object],
@@ -238,7 +239,7 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 30) -> DataFram
         for r in spans
     ]
     spark = df.sparkSession
-    extent = spark.createDataFrame(ranges, "variable STRING, lo DOUBLE, hi DOUBLE")
+    extent = small_frame(spark, ranges, "variable STRING, lo DOUBLE, hi DOUBLE")
     width = (F.col("hi") - F.col("lo")) / bins
     place = F.floor((F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins)
     counts = (
@@ -270,8 +271,8 @@ def box_summary(df: DataFrame, columns: Sequence[str], target: str = "churn") ->
     """Quartiles and 1.5 IQR whiskers (the outermost values within) by class."""
     quarts = O.quantile_columns(df, columns, QUARTILES, by=target).collect()
     spark = df.sparkSession
-    table = spark.createDataFrame(
-        [(r["grp"], r["variable"], r["q1"], r["median"], r["q3"]) for r in quarts],
+    table = small_frame(
+        spark, [(r["grp"], r["variable"], r["q1"], r["median"], r["q3"]) for r in quarts],
         "grp INT, variable STRING, q1 DOUBLE, median DOUBLE, q3 DOUBLE",
     )
     reach = (F.col("q3") - F.col("q1")) * 1.5

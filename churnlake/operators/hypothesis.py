@@ -16,6 +16,7 @@ from churnlake.functions.expressions import col
 from churnlake.operators import explore as X
 from churnlake.operators import order_stats as O
 from churnlake.operators import ranking as R
+from churnlake.session import small_frame
 
 
 def chi_square_statistics(df: DataFrame, columns: Sequence[str],
@@ -49,8 +50,8 @@ def chi_square_statistics(df: DataFrame, columns: Sequence[str],
 
 def chi_square(df: DataFrame, columns: Sequence[str], target: str = "churn") -> DataFrame:
     rows = chi_square_statistics(df, columns, target).collect()
-    return df.sparkSession.createDataFrame(
-        [(*r, P.chi_square_tail(r["chi2"], r["dof"])) for r in rows],
+    return small_frame(
+        df.sparkSession, [(*r, P.chi_square_tail(r["chi2"], r["dof"])) for r in rows],
         "variable STRING, chi2 DOUBLE, dof BIGINT, n_rows BIGINT, n_columns INT, p_value DOUBLE",
     )
 
@@ -88,8 +89,8 @@ def welch(df: DataFrame, columns: Sequence[str], target: str = "churn") -> DataF
     def p(r) -> float | None:
         return None if r["t"] is None else P.student_two_sided(r["t"], r["dof"])
 
-    return df.sparkSession.createDataFrame(
-        [(*r, p(r)) for r in rows],
+    return small_frame(
+        df.sparkSession, [(*r, p(r)) for r in rows],
         "variable STRING, t DOUBLE, dof DOUBLE, mean_active DOUBLE, mean_churned DOUBLE, "
         "p_value DOUBLE",
     )
@@ -141,8 +142,8 @@ def mann_whitney(df: DataFrame, columns: Sequence[str], target: str = "churn") -
     def p(r) -> float | None:
         return None if r["z"] is None else min(1.0, P.normal_two_sided(max(r["z"], 0.0)))
 
-    return df.sparkSession.createDataFrame(
-        [(*r, p(r), mid.get((0, r["variable"])), mid.get((1, r["variable"]))) for r in rows],
+    return small_frame(
+        df.sparkSession, [(*r, p(r), mid.get((0, r["variable"])), mid.get((1, r["variable"]))) for r in rows],
         "variable STRING, u DOUBLE, z DOUBLE, n_active BIGINT, n_churned BIGINT, "
         "p_value DOUBLE, median_active DOUBLE, median_churned DOUBLE",
     )

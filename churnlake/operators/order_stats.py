@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnlake.functions.expressions import col
+from churnlake.session import small_frame
 
 SKETCH_ACCURACY = 100_000     # rank error of the sketch: n / SKETCH_ACCURACY
 WHOLE_RANGE_ROWS = 50_000     # up to here the bracket is the whole range
@@ -61,7 +62,7 @@ def long_form(df: DataFrame, columns: Sequence[str], by: str | None = None) -> D
 
 
 def _brackets(pairs: DataFrame, ranks_of: Callable[[object, str, int], list[tuple[int, int]]],
-              ) -> tuple[DataFrame, int]:
+              ) -> DataFrame:
     """A checked-small table of (grp, variable, target, ranks, value bracket)."""
     spark = pairs.sparkSession
     extent = (
@@ -109,7 +110,7 @@ def _brackets(pairs: DataFrame, ranks_of: Callable[[object, str, int], list[tupl
     ])
     for f in declared.fields:
         f.nullable = True
-    return spark.createDataFrame(table, declared), len(table)
+    return small_frame(spark, table, declared)
 
 
 def order_statistics(pairs: DataFrame,
@@ -120,7 +121,7 @@ def order_statistics(pairs: DataFrame,
     ties) where ``below`` counts the rows less than ``lower`` and ``ties`` those equal
     to it. A bracket that missed its rank would fail the query, never give a wrong value.
     """
-    brackets, _ = _brackets(pairs, ranks_of)
+    brackets = _brackets(pairs, ranks_of)
     key = ["grp", "variable", "target"]
     same_group = pairs["grp"].eqNullSafe(brackets["grp"])
     inside = (

@@ -5,8 +5,11 @@ from __future__ import annotations
 import tempfile
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 
 def local_session(cores: str = "*", partitions: int = 8, app: str = "churnlake") -> SparkSession:
@@ -62,3 +65,14 @@ def kept(df: DataFrame):
     finally:
         if held:
             df.unpersist()
+
+
+def small_frame(spark: SparkSession, rows: list[tuple], ddl: str | T.StructType) -> DataFrame:
+    """A driver-made frame of a few rows as a local relation (no job, known size)."""
+    declared = T.StructType.fromDDL(ddl) if isinstance(ddl, str) else ddl
+    columns = list(zip(*rows)) if rows else [[] for _ in declared]
+    table = pa.table(
+        [pa.array(list(c), type=to_arrow_type(f.dataType)) for c, f in zip(columns, declared)],
+        names=declared.names,
+    )
+    return spark.createDataFrame(table, declared)
