@@ -138,12 +138,16 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), paired(a, b).alias("corr"))
         for a, b in pairs
     ]).alias("rows")).select(F.inline("rows"))
-    both = F.when(
-        F.col("a") == F.col("b"), F.array(F.struct(F.col("a"), F.col("b")))
-    ).otherwise(F.array(F.struct(F.col("a"), F.col("b")), F.struct(F.col("b"), F.col("a"))))
-    return values.select("corr", F.inline(both)).select(
-        F.col("a").alias("variable_a"), F.col("b").alias("variable_b"), "corr"
+
+    def ordered(first: str, second: str) -> Column:
+        return F.struct(
+            F.col(first).alias("variable_a"), F.col(second).alias("variable_b"), F.col("corr")
+        )
+
+    mirrored = F.when(F.col("a") == F.col("b"), F.array(ordered("a", "b"))).otherwise(
+        F.array(ordered("a", "b"), ordered("b", "a"))
     )
+    return values.select(F.inline(mirrored))
 
 
 def crosstab(df: DataFrame, columns: Sequence[str], target: str = "churn") -> DataFrame:
