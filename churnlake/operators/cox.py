@@ -174,8 +174,10 @@ def cox_fit(df: DataFrame, covariates: Sequence[str], duration: str = "duration"
         p = P.normal_two_sided(z) if se > 0 else math.nan
         bits = -math.log2(p) if p > 0 else math.inf
         low, high = coef - Z_95 * se, coef + Z_95 * se
-        table.append((name, float(coef), math.exp(coef), float(se), float(low), float(high),
-                      math.exp(low), math.exp(high), float(z), float(p), float(bits)))
+        with np.errstate(over="ignore"):
+            ratios = [float(np.exp(v)) for v in (coef, low, high)]
+        table.append((name, float(coef), ratios[0], float(se), float(low), float(high),
+                      ratios[1], ratios[2], float(z), float(p), float(bits)))
     return small_frame(
         df.sparkSession, table,
         "covariate STRING, coef DOUBLE, hazard_ratio DOUBLE, se DOUBLE, coef_low DOUBLE, "

@@ -105,8 +105,8 @@ def threshold_sweep(scores: DataFrame, grid: tuple[float, float, int] = S.FULL_G
     )
     # Every group gets every threshold: a grid row without scores counts zero.
     zeros = counts.groupBy(*by).agg(F.lit(0).alias("pos"), F.lit(0).alias("neg")).withColumn(
-        "cell", F.explode(F.sequence(F.lit(1), F.lit(len(points)))).cast("double")
-    )
+        "cell", F.explode(F.sequence(F.lit(1), F.lit(len(points))))
+    ).withColumn("cell", F.col("cell").cast("double"))
     cells = counts.unionByName(zeros).groupBy(*by, "cell").agg(
         F.sum("pos").alias("pos"), F.sum("neg").alias("neg")
     )
