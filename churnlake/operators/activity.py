@@ -181,13 +181,13 @@ def previous_order(orders: DataFrame) -> DataFrame:
 def item_categories(order_items: DataFrame, products: DataFrame) -> DataFrame:
     """Distinct (order, category) pairs of the sold items.
 
-    Folding to pairs right after the product lookup keeps an order with very many
-    lines small before the join with orders. The lookup itself is left to the
-    optimizer: small product tables are broadcast by their size, larger ones are
-    hash-joined, and the item side can be split where one product dominates.
+    Folding to pairs right after the product lookup combines on the map side, so an
+    order with very many lines is small before the join with orders. The lookup itself is
+    left to the optimizer: small product tables are broadcast by their size, larger ones
+    are hash-joined, and there the item side can be split where one product dominates.
     """
     return (
-        order_items.select("order_id", "product_id").distinct()
+        order_items.select("order_id", "product_id")
         .join(products.select("product_id", "category_id"), "product_id", "left")
         .where(F.col("category_id").isNotNull())
         .select("order_id", "category_id")

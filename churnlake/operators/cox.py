@@ -22,9 +22,11 @@ from churnlake import schema as S
 from churnlake.functions import expressions as E
 from churnlake.functions import pvalues as P
 from churnlake.operators import mlprep as M
+from churnlake.operators import ranking as R
 from churnlake.session import kept, small_frame
 
 MAX_DURATIONS = 100_000
+REDUCERS = 16
 Z_95 = 1.959963984540054
 
 
@@ -61,88 +63,95 @@ def cox_frame(features: DataFrame, ref: datetime,
     return filled.select("user_id", "duration", "event", *covariates), covariates
 
 
-def _sum_columns(p: int) -> list[str]:
-    return [f"v{i}" for i in range(1 + p + p * (p + 1) // 2)]
-
-
 def _duration_sums(df: DataFrame, duration: str, event: str, covariates: Sequence[str],
                    means: np.ndarray, scales: np.ndarray, beta: np.ndarray) -> pd.DataFrame:
-    """Per (duration, event): row count, sum of x, and sums of w, w x, w x x'."""
-    p = len(covariates)
-    upper = np.triu_indices(p)
-    names = _sum_columns(p)
-    raw = [f"x{i}" for i in range(p)]
+    """Per (duration, event): row count, sums of x, and sums of w, w x, w x x'.
 
-    def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    Rows fold to one line per duration in each task; the lines of a duration then meet
+    in one of a few tasks, which fold them again.
+    """
+    upper = np.triu_indices(len(covariates))
+
+    # Nested, so that tasks need nothing but numpy and pandas.
+    def fold(blocks: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[pd.DataFrame]:
         total: pd.DataFrame | None = None
-        for batch in batches:
-            x = (batch.iloc[:, 2:].to_numpy(dtype=float) - means) / scales
-            w = np.exp(x @ beta)
-            wx = x * w[:, None]
-            block = np.column_stack([
-                np.ones(len(x)), x, w, wx, wx[:, upper[0]] * x[:, upper[1]]
-            ])
-            keys = batch.iloc[:, :2].set_axis(["duration", "event"], axis=1)
-            part = pd.concat(
-                [keys.reset_index(drop=True), pd.DataFrame(block, columns=["n", *raw, *names])],
-                axis=1,
-            ).groupby(["duration", "event"]).sum()
+        for keys, values in blocks:
+            index = pd.MultiIndex.from_arrays(keys.T, names=["duration", "event"])
+            part = pd.DataFrame(values, index=index).groupby(level=[0, 1]).sum()
             total = part if total is None else total.add(part, fill_value=0.0)
         if total is not None:
-            yield total.reset_index()
+            out = total.index.to_frame(index=False)
+            out["sums"] = list(total.to_numpy())
+            yield out
 
-    columns = ["n", *raw, *names]
-    ddl = "duration BIGINT, event BIGINT, " + ", ".join(f"{c} DOUBLE" for c in columns)
-    rows = (
+    def per_row(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for batch in batches:
+            if len(batch):
+                x = (batch.iloc[:, 2:].to_numpy(dtype=float) - means) / scales
+                w = np.exp(x @ beta)
+                wx = x * w[:, None]
+                yield batch.iloc[:, :2].to_numpy(), np.column_stack(
+                    [np.ones(len(x)), x, w, wx, wx[:, upper[0]] * x[:, upper[1]]]
+                )
+
+    def per_line(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for batch in batches:
+            if len(batch):
+                yield batch[["duration", "event"]].to_numpy(), np.stack(batch["sums"])
+
+    ddl = "duration BIGINT, event BIGINT, sums ARRAY<DOUBLE>"
+    lines = (
         df.select(F.col(duration).cast("bigint"), F.col(event).cast("bigint"),
                   *[E.col(c).cast("double") for c in covariates])
-        .mapInPandas(add_up, ddl)
-        .groupBy("duration", "event").agg(*[F.sum(c).alias(c) for c in columns])
-        .limit(2 * MAX_DURATIONS + 1).toPandas()
+        .mapInPandas(lambda batches: fold(per_row(batches)), ddl)
+        .repartition(min(REDUCERS, R.range_count(df)), "duration")
+        .mapInPandas(lambda batches: fold(per_line(batches)), ddl)
+        .toArrow().to_pandas()
     )
-    if len(rows) > 2 * MAX_DURATIONS:
-        raise ValueError("too many distinct durations: use a coarser unit of time")
-    return rows.sort_values(["duration", "event"], ignore_index=True)
+    table = pd.DataFrame(np.stack(lines["sums"]), index=pd.MultiIndex.from_frame(
+        lines[["duration", "event"]]
+    ))
+    return table.sort_index()
 
 
 def _likelihood(sums: pd.DataFrame, beta: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
     """Log-likelihood, gradient and information from the sums per duration."""
     p = len(beta)
     upper = np.triu_indices(p)
-    names = _sum_columns(p)
-
-    def unpack(row: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-        square = np.zeros((p, p))
-        square[upper] = row[1 + p:]
-        return row[0], row[1:1 + p], square + np.triu(square, 1).T
-
-    risk = sums.groupby("duration")[names].sum().sort_index()
+    weighted = sums.iloc[:, 1 + p:]
+    risk = weighted.groupby(level="duration").sum()
+    died = sums[sums.index.get_level_values("event") == 1]
     at_risk = risk.to_numpy()[::-1].cumsum(axis=0)[::-1]
-    position = {d: i for i, d in enumerate(risk.index)}
-    value, gradient, information = 0.0, np.zeros(p), np.zeros((p, p))
-    for _, line in sums[sums["event"] == 1].iterrows():
-        deaths = int(round(line["n"]))
-        x_sum = line[[f"x{i}" for i in range(p)]].to_numpy(dtype=float)
-        s0, s1, s2 = unpack(at_risk[position[line["duration"]]])
-        e0, e1, e2 = unpack(line[names].to_numpy(dtype=float))
-        # Efron: the k-th of the tied events leaves the share k/deaths out of the risk set.
-        shares = np.arange(deaths) / deaths
-        inverse = 1.0 / (s0 - shares * e0)
-        a, b = inverse.sum(), (shares * inverse).sum()
-        c0 = (inverse**2).sum()
-        c1 = (shares * inverse**2).sum()
-        c2 = (shares**2 * inverse**2).sum()
-        value += x_sum @ beta + np.log(inverse).sum()
-        gradient += x_sum - (s1 * a - e1 * b)
-        cross = np.outer(s1, e1)
-        information += s2 * a - e2 * b - (
-            np.outer(s1, s1) * c0 - (cross + cross.T) * c1 + np.outer(e1, e1) * c2
+    at_risk = at_risk[risk.index.get_indexer(died.index.get_level_values("duration"))]
+    tied = died.to_numpy()[:, 1 + p:]
+    s0, s1, s2 = at_risk[:, 0], at_risk[:, 1:1 + p], at_risk[:, 1 + p:]
+    e0, e1, e2 = tied[:, 0], tied[:, 1:1 + p], tied[:, 1 + p:]
+    # Efron: the k-th of the tied events leaves the share k/deaths out of the risk set.
+    # Per duration only these sums over its tied events are needed.
+    weights = np.zeros((len(died), 6))
+    for i, deaths in enumerate(died[0].round().astype(int)):
+        share = np.arange(deaths) / deaths
+        inverse = 1.0 / (s0[i] - share * e0[i])
+        squared = inverse**2
+        weights[i] = (
+            np.log(inverse).sum(), inverse.sum(), (share * inverse).sum(),
+            squared.sum(), (share * squared).sum(), (share**2 * squared).sum(),
         )
-    return value, gradient, information
+    logs, a, b, c0, c1, c2 = weights.T
+    x_sum = died.to_numpy()[:, 1:1 + p].sum(axis=0)
+    gradient = x_sum - (a @ s1 - b @ e1)
+    second = np.zeros((p, p))
+    second[upper] = a @ s2 - b @ e2
+    second = second + np.triu(second, 1).T
+    cross = (s1 * c1[:, None]).T @ e1
+    information = second - (
+        (s1 * c0[:, None]).T @ s1 - cross - cross.T + (e1 * c2[:, None]).T @ e1
+    )
+    return float(x_sum @ beta + logs.sum()), gradient, information
 
 
 def cox_fit(df: DataFrame, covariates: Sequence[str], duration: str = "duration",
-            event: str = "event", max_iter: int = 50, tolerance: float = 1e-9) -> DataFrame:
+            event: str = "event", max_iter: int = 50, tolerance: float = 1e-7) -> DataFrame:
     """Coefficient table: coef, hazard ratio, standard error, 95 % interval, z, p, -log2 p.
 
     Unpenalised; covariates are standardised for the steps and scaled back at the end.
@@ -152,6 +161,8 @@ def cox_fit(df: DataFrame, covariates: Sequence[str], duration: str = "duration"
     scales = np.array([scaler.scales[c] for c in covariates])
     beta = np.zeros(len(covariates))
     with kept(df.select(duration, event, *map(E.col, covariates))) as rows:
+        if rows.select(duration).distinct().count() > MAX_DURATIONS:
+            raise ValueError("too many distinct durations: use a coarser unit of time")
         sums = _duration_sums(rows, duration, event, covariates, means, scales, beta)
         value, gradient, information = _likelihood(sums, beta)
         for _ in range(max_iter):
@@ -166,7 +177,10 @@ def cox_fit(df: DataFrame, covariates: Sequence[str], duration: str = "duration"
                 if new[0] >= value - 1e-10 or size < 1e-6:
                     break
                 size /= 2.0
+            gained = new[0] - value
             beta, (value, gradient, information) = trial, new
+            if gained <= 1e-9 * abs(value):
+                break
     spread = np.sqrt(np.maximum(np.diag(np.linalg.pinv(information)), 0.0))
     table = []
     for name, coef, se in zip(covariates, beta / scales, spread / scales):

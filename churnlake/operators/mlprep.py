@@ -41,7 +41,7 @@ def split(df: DataFrame, key: str, label: str, test_share: float, seed: int = 42
         return df.withColumn("split", F.when(drawn < limit, "test").otherwise("train"))
     with kept(df.select(col(label).alias("__label"), drawn.alias("__hash"))) as rows:
         ends = O.order_statistics(
-            O.long_form(rows, ["__hash"], "__label"),
+            O.long_form(rows, ["__hash"], "__label"), O.extents(rows, ["__hash"], "__label"),
             lambda _g, _v, n: [(max(0, round(test_share * n) - 1),) * 2],
         ).collect()
     chosen = F.lit(False)

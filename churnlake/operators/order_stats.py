@@ -12,8 +12,9 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,11 +22,13 @@ from churnlake.functions.expressions import col
 from churnlake.session import small_frame
 
 SKETCH_ACCURACY = 100_000     # rank error of the sketch: n / SKETCH_ACCURACY
-WHOLE_RANGE_ROWS = 50_000     # up to here the bracket is the whole range
-MAX_GROUPS = 20_000           # group x variable pairs; checked before use
+WHOLE_RANGE_ROWS = 1_000      # up to here the bracket is the whole range
+MAX_GROUPS = 5_000            # groups of a ``by`` column; checked before use
 
-# Maps a row count to the (lower, upper) zero-based ranks wanted for it.
+# Maps a row count to the (lower, upper) zero-based ranks wanted for it, and the same
+# for a group, a variable and its row count.
 Ranks = Callable[[int], list[tuple[int, int]]]
+RanksOf = Callable[[object, str, int], list[tuple[int, int]]]
 
 
 def linear_ranks(probs: Sequence[float]) -> Ranks:
@@ -55,83 +58,109 @@ def long_form(df: DataFrame, columns: Sequence[str], by: str | None = None) -> D
             group.alias("grp"), F.lit(columns[0]).alias("variable"), col(columns[0]).alias("value")
         )
     else:
-        entries = [F.struct(F.lit(c).alias("variable"), col(c).cast("double").alias("value"))
-                   for c in columns]
+        entries = [
+            F.struct(F.lit(c).alias("variable"), value_column(c, columns).alias("value"))
+            for c in columns
+        ]
         pairs = df.select(group.alias("grp"), F.inline(F.array(*entries)))
     return pairs.where(F.col("value").isNotNull())
 
 
-def _brackets(pairs: DataFrame, ranks_of: Callable[[object, str, int], list[tuple[int, int]]],
-              ) -> DataFrame:
-    """A checked-small table of (grp, variable, target, ranks, value bracket)."""
-    spark = pairs.sparkSession
-    extent = (
-        pairs.groupBy("grp", "variable")
-        .agg(F.count("value").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
-        .limit(MAX_GROUPS + 1)
-        .collect()
+@dataclass(frozen=True)
+class Extent:
+    """Row count and value range of one variable in one group; an unknown end is None."""
+
+    grp: object
+    variable: str
+    n: int
+    lo: object = None
+    hi: object = None
+
+
+def extents(df: DataFrame, columns: Sequence[str], by: str | None = None) -> list[Extent]:
+    """Counts and ranges of several columns from one pass; the number of groups is checked."""
+    group = col(by) if by else F.lit(None).cast("string")
+    measures = [
+        F.struct(F.count(v).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi"))
+        for v in (value_column(c, columns) for c in columns)
+    ]
+    named = [m.alias(f"e{i}") for i, m in enumerate(measures)]
+    rows = (
+        df.groupBy(group.alias("grp")).agg(*named).limit(MAX_GROUPS + 1).collect()
+        if by else df.agg(*named).collect()
     )
-    if len(extent) > MAX_GROUPS:
+    if len(rows) > MAX_GROUPS:
         raise ValueError(f"more than {MAX_GROUPS} groups: aggregate per group instead")
-    sketch: dict[tuple, dict[float, object]] = {}
+    return [
+        Extent(r["grp"] if by else None, c, *r[f"e{i}"])
+        for r in rows for i, c in enumerate(columns) if r[f"e{i}"]["n"] > 0
+    ]
+
+
+def value_column(name: str, columns: Sequence[str]) -> Column:
+    """A column as it appears in the long form: its own type alone, else a double."""
+    return col(name) if len(columns) == 1 else col(name).cast("double")
+
+
+def _brackets(pairs: DataFrame, found: Sequence[Extent], ranks_of: RanksOf) -> DataFrame:
+    """A small table of (grp, variable, target, ranks, value bracket) per wanted rank pair."""
     margin = 2.0 / SKETCH_ACCURACY
 
     def bounds(lower: int, upper: int, n: int) -> tuple[float, float]:
         return (max(0.0, lower / n - margin), min(1.0, (upper + 1) / n + margin))
 
-    wanted = {(r["grp"], r["variable"]): ranks_of(r["grp"], r["variable"], r["n"]) for r in extent}
-    large = [r for r in extent if r["n"] > WHOLE_RANGE_ROWS]
+    wanted = {(e.grp, e.variable): ranks_of(e.grp, e.variable, e.n) for e in found}
+    large = [e for e in found if e.n > WHOLE_RANGE_ROWS]
+    sketch: dict[tuple, dict[float, object]] = {}
     if large:
         points = sorted({
-            p for r in large for pair in wanted[r["grp"], r["variable"]]
-            for p in bounds(*pair, r["n"])
+            p for e in large for pair in wanted[e.grp, e.variable] for p in bounds(*pair, e.n)
         })
         rows = pairs.groupBy("grp", "variable").agg(
             F.percentile_approx("value", points, SKETCH_ACCURACY).alias("q")
         ).collect()
         sketch = {(r["grp"], r["variable"]): dict(zip(points, r["q"])) for r in rows}
     table = []
-    for r in extent:
-        key = (r["grp"], r["variable"])
+    for e in found:
+        key = (e.grp, e.variable)
         for target, (lower, upper) in enumerate(wanted[key]):
-            lo, hi = r["lo"], r["hi"]
-            if r["n"] > WHOLE_RANGE_ROWS:
-                p_lo, p_hi = bounds(lower, upper, r["n"])
+            lo, hi = e.lo, e.hi
+            if e.n > WHOLE_RANGE_ROWS:
+                p_lo, p_hi = bounds(lower, upper, e.n)
                 lo = lo if p_lo == 0.0 else sketch[key][p_lo]
                 hi = hi if p_hi == 1.0 else sketch[key][p_hi]
-            table.append((*key, target, r["n"], lower, upper, lo, hi))
-    fields = pairs.schema
+            table.append((*key, target, e.n, lower, upper, lo, hi))
+    kind = pairs.schema["value"].dataType
     declared = T.StructType([
-        fields["grp"], fields["variable"],
+        T.StructField("grp", pairs.schema["grp"].dataType),
+        T.StructField("variable", T.StringType()),
         T.StructField("target", T.IntegerType()), T.StructField("n", T.LongType()),
         T.StructField("lower_rank", T.LongType()), T.StructField("upper_rank", T.LongType()),
-        T.StructField("lo", fields["value"].dataType),
-        T.StructField("hi", fields["value"].dataType),
+        T.StructField("lo", kind), T.StructField("hi", kind),
     ])
-    for f in declared.fields:
-        f.nullable = True
-    return small_frame(spark, table, declared)
+    return small_frame(pairs.sparkSession, table, declared)
 
 
-def order_statistics(pairs: DataFrame,
-                     ranks_of: Callable[[object, str, int], list[tuple[int, int]]]) -> DataFrame:
+def order_statistics(pairs: DataFrame, found: Sequence[Extent], ranks_of: RanksOf) -> DataFrame:
     """Values at the wanted ranks of each (grp, variable).
 
     Returns (grp, variable, target, n, lower_rank, upper_rank, lower, upper, below,
     ties) where ``below`` counts the rows less than ``lower`` and ``ties`` those equal
     to it. A bracket that missed its rank would fail the query, never give a wrong value.
     """
-    brackets = _brackets(pairs, ranks_of)
+    brackets = _brackets(pairs, found, ranks_of)
     key = ["grp", "variable", "target"]
-    same_group = pairs["grp"].eqNullSafe(brackets["grp"])
+    value, lo, hi = pairs["value"], brackets["lo"], brackets["hi"]
     inside = (
         pairs.join(
-            F.broadcast(brackets), same_group & (pairs["variable"] == brackets["variable"])
+            F.broadcast(brackets),
+            pairs["grp"].eqNullSafe(brackets["grp"])
+            & (pairs["variable"] == brackets["variable"]),
         )
-        .where(pairs["value"] <= F.col("hi"))
+        .where(hi.isNull() | (value <= hi))
         .select(
             brackets["grp"], brackets["variable"], "target", "n", "lower_rank", "upper_rank",
-            F.when(pairs["value"] >= F.col("lo"), pairs["value"]).alias("value"),
+            F.when(lo.isNull() | (value >= lo), value).alias("value"),
         )
         .groupBy(*key, "n", "lower_rank", "upper_rank", "value")
         .agg(F.count(F.lit(1)).alias("ties"))
@@ -141,22 +170,20 @@ def order_statistics(pairs: DataFrame,
     )
     placed = inside.withColumn("through", F.sum("ties").over(upto))
 
-    def holds(rank: str):
+    def holds(rank: str) -> Column:
         return (F.col("through") > F.col(rank)) & (
             F.col("through") - F.col("ties") <= F.col(rank)
         )
 
-    found = placed.groupBy(*key, "n", "lower_rank", "upper_rank").agg(
+    picked = placed.groupBy(*key, "n", "lower_rank", "upper_rank").agg(
         F.max(F.when(holds("lower_rank"), F.col("value"))).alias("lower"),
         F.max(F.when(holds("upper_rank"), F.col("value"))).alias("upper"),
         F.max(F.when(holds("lower_rank"), F.col("through") - F.col("ties"))).alias("below"),
         F.max(F.when(holds("lower_rank"), F.col("ties"))).alias("ties"),
     )
     missed = F.col("lower").isNull() | F.col("upper").isNull()
-    return found.withColumn(
-        "lower", F.when(missed, F.raise_error(F.lit("rank outside its bracket")).cast(
-            pairs.schema["value"].dataType)).otherwise(F.col("lower"))
-    )
+    failure = F.raise_error(F.lit("rank outside its bracket")).cast(pairs.schema["value"].dataType)
+    return picked.withColumn("lower", F.when(missed, failure).otherwise(F.col("lower")))
 
 
 def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
@@ -176,7 +203,9 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
             F.percentile_approx("value", list(probs), SKETCH_ACCURACY).alias("q"),
         ).select("grp", "variable", "n", F.inline(entries))
     ranks = linear_ranks(probs)
-    stats = order_statistics(pairs, lambda _g, _v, n: ranks(n))
+    doubles = df.select(*([by] if by else []), *[col(c).cast("double").alias(c) for c in columns])
+    found = extents(doubles, columns, by)
+    stats = order_statistics(pairs, found, lambda _g, _v, n: ranks(n))
     prob = F.element_at(F.array(*map(F.lit, probs)), F.col("target") + 1)
     weight = prob * (F.col("n") - 1) - F.col("lower_rank")
     return stats.select(

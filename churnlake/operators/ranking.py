@@ -133,21 +133,28 @@ def average_rank(df: DataFrame, value: str, rank: str = "avg_rank") -> DataFrame
     )
 
 
-def _few_levels(df: DataFrame, columns: Sequence[str], q: int) -> dict[str, int]:
-    """Distinct count of each column that has less than ``q`` values.
+def _measure(df: DataFrame, columns: Sequence[str], q: int) -> tuple[dict, dict[str, int]]:
+    """Extent of each column, and the distinct count of those with less than ``q`` values.
 
     The estimate never exceeds ``q`` when there are so few values, so the exact set is
     only gathered where it is known to be small.
     """
-    guess = df.agg(*[
-        F.approx_count_distinct(E.col(c)).alias(f"d{i}") for i, c in enumerate(columns)
+    values = {c: E.col(c).cast("double") for c in columns}
+    row = df.agg(*[
+        F.struct(
+            F.count(v).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi"),
+            F.approx_count_distinct(v).alias("guess"),
+        ).alias(f"e{i}")
+        for i, v in enumerate(values.values())
     ]).first()
-    small = [c for i, c in enumerate(columns) if guess[i] <= 2 * q]
+    measured = {c: row[f"e{i}"] for i, c in enumerate(columns)}
+    small = [c for c in columns if measured[c]["guess"] <= 2 * q]
     if not small:
-        return {}
-    sizes = df.agg(*[F.size(F.collect_set(E.col(c))).alias(f"d{i}")
-                     for i, c in enumerate(small)]).first()
-    return {c: sizes[i] for i, c in enumerate(small) if sizes[i] < q}
+        return measured, {}
+    sizes = df.agg(*[
+        F.size(F.collect_set(E.col(c))).alias(f"d{i}") for i, c in enumerate(small)
+    ]).first()
+    return measured, {c: sizes[i] for i, c in enumerate(small) if sizes[i] < q}
 
 
 def quantile_scores(df: DataFrame, specs: dict[str, tuple[str, Sequence[int], bool]],
@@ -162,18 +169,25 @@ def quantile_scores(df: DataFrame, specs: dict[str, tuple[str, Sequence[int], bo
     """
     columns = list(dict.fromkeys(c for c, _, _ in specs.values()))
     with kept(df.select(tie, *map(E.col, columns))) as source:
-        few = _few_levels(source, columns, q)
+        measured, few = _measure(source, columns, q)
 
         def order_value(name: str) -> Column:
             column, _, descending = specs[name]
             value = E.col(column).cast("double")
             return -value if descending and column not in few else value
 
+        def extent(name: str) -> O.Extent:
+            column, _, descending = specs[name]
+            n, lo, hi, _ = measured[column]
+            flipped = descending and column not in few
+            return O.Extent(None, name, n, *((-hi, -lo) if flipped else (lo, hi)))
+
         bins = {n: max(1, few.get(c, q)) for n, (c, _, _) in specs.items()}
         narrow = source.select(tie, *[order_value(n).alias(n) for n in specs])
         cuts = O.order_statistics(
             O.long_form(narrow, list(specs)),
-            lambda _g, name, n: O.lower_ranks(bins.get(name, q))(n),
+            [extent(n) for n, (c, _, _) in specs.items() if measured[c]["n"]],
+            lambda _g, name, n: O.lower_ranks(bins[name])(n),
         ).collect()
         # Where a cut falls among the rows sharing its value, the id decides.
         place = [c["lower_rank"] - c["below"] for c in cuts]
@@ -187,6 +201,7 @@ def quantile_scores(df: DataFrame, specs: dict[str, tuple[str, Sequence[int], bo
             tied = narrow.select(F.explode(F.array_compact(F.array(*hits))).alias("slot"), tie)
             found = O.order_statistics(
                 O.long_form(tied, [tie], "slot"),
+                [O.Extent(i, tie, cuts[i]["ties"]) for i in tied_slots],
                 lambda slot, _v, _n: [(place[slot], place[slot])],
             ).collect()
             last_id = {r["grp"]: r["lower"] for r in found}

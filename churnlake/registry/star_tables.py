@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from churnlake.operators.activity import reference_date
 from churnlake.operators.features import user_features
 from churnlake.operators.ranking import rfm_scores
-from churnlake.session import keep
+from churnlake.session import stage
 from churnlake.sources.tables import ShopTables
 
 HORIZON_DAYS = 180
@@ -23,8 +23,23 @@ EVENT_HORIZON_DAYS = 3
 LOGIN_SHIFT_DAYS = 8218      # moves the event dates onto the end of the order dates
 
 
+# Columns the views read, so that a scan needs no look at the files to be planned.
+STAR_SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_mktsegment STRING",
+    "part": "p_partkey BIGINT, p_name STRING, p_type STRING, p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, "
+              "o_totalprice DOUBLE, o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+                "l_extendedprice DOUBLE, l_returnflag STRING",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+              "value DOUBLE",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(STAR_SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def _users(customers: DataFrame, created: str) -> DataFrame:
@@ -116,13 +131,13 @@ def shop_features(spark: SparkSession, folder: str) -> DataFrame:
     """User features at the shop's own reference date, staged for several passes."""
     tables = shop(spark, folder)
     ref = reference_date(tables)
-    return keep(user_features(tables, ref, horizon_days=HORIZON_DAYS))
+    return stage(user_features(tables, ref, horizon_days=HORIZON_DAYS), "features")
 
 
 def event_features(spark: SparkSession, folder: str) -> DataFrame:
     tables = event_shop(spark, folder)
     ref = reference_date(tables)
-    return keep(user_features(tables, ref, horizon_days=EVENT_HORIZON_DAYS))
+    return stage(user_features(tables, ref, horizon_days=EVENT_HORIZON_DAYS), "features")
 
 
 def scored_features(spark: SparkSession, folder: str) -> DataFrame:

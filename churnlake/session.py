@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from contextlib import contextmanager
 
 import pyarrow as pa
@@ -45,6 +46,18 @@ def shared_folder(spark: SparkSession) -> str:
     return own
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame to the shared folder and read it back.
+
+    For a table that many passes read, such as one row per user out of all fact tables:
+    it survives lost executors, cuts the plan and the task lineage of everything built
+    on it, and keeps column pruning, which an RDD checkpoint does not.
+    """
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def keep(df: DataFrame) -> DataFrame:
     """Persist a frame that several passes read; the caller may ``unpersist`` it.
 
