@@ -127,11 +127,20 @@ def outliers(df: DataFrame, columns: Sequence[str], accurate: bool = True) -> Da
 
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair of columns, over rows where both are present."""
+    """Pearson correlation of every pair of columns, over rows where both are present.
+
+    NULL where a column is constant, which the built-in ``corr`` turns into an error.
+    """
+    present = df.agg(F.count(F.lit(1)), *[F.count(col(c)) for c in columns]).first()
+    gappy = {c for c, n in zip(columns, present[1:]) if n < present[0]}
+
+    def value(c: str, other: str) -> Column:
+        v = col(c).cast("double")
+        return F.when(col(other).isNotNull(), v) if other in gappy else v
 
     def paired(a: str, b: str) -> Column:
-        value = F.corr(col(a).cast("double"), col(b).cast("double"))
-        return F.when(~F.isnan(value), value)
+        x, y = value(a, b), value(b, a)
+        return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
     pairs = [*combinations(columns, 2), *[(c, c) for c in columns]]
     values = df.agg(F.array(*[
