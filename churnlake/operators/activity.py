@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from churnlake import schema as S
 from churnlake.functions.expressions import elapsed_days, ts
+from churnlake.operators import ranking as R
 from churnlake.sources.tables import ShopTables
 
 
@@ -154,25 +155,28 @@ def order_gaps(orders: DataFrame) -> DataFrame:
 def previous_order(orders: DataFrame) -> DataFrame:
     """Each order with the date of the user's previous order, ties by order id.
 
-    The window runs per user and calendar day; the first order of a day takes its
-    neighbour from the calendar-bounded table of the user's active days. A user with
-    very many orders is spread over days instead of landing in one task.
+    The window runs per user and cell, where cells cut all orders into time ranges of
+    equal size, so that even a user with most of the orders is spread over all of
+    them. The first order of a cell takes its neighbour from the table of the user's
+    cells, which has at most one row per cell.
     """
-    rows = orders.select("order_id", "user_id", "order_date").withColumn(
-        "day", F.to_date("order_date")
+    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"),
+                              F.col("order_date"))
+    rows = R.ordered_cells(
+        orders.select("order_id", "user_id", "order_date"), micros, "order_id"
     )
-    inside = Window.partitionBy("user_id", "day").orderBy("order_date", "order_id")
-    by_user = Window.partitionBy("user_id").orderBy(F.col("day").asc_nulls_first())
+    inside = Window.partitionBy("user_id", *R.CELL).orderBy("order_date", "order_id")
+    by_user = Window.partitionBy("user_id").orderBy(*R.CELL)
     carried = (
-        rows.groupBy("user_id", "day").agg(F.max("order_date").alias("day_end"))
-        .select("user_id", "day", F.lag("day_end").over(by_user).alias("carried"))
+        rows.groupBy("user_id", *R.CELL).agg(F.max("order_date").alias("cell_end"))
+        .select("user_id", *R.CELL, F.lag("cell_end").over(by_user).alias("carried"))
     )
     return (
-        rows.withColumn("same_day", F.lag("order_date").over(inside))
-        .join(carried, ["user_id", "day"], "left")
+        rows.withColumn("in_cell", F.lag("order_date").over(inside))
+        .join(carried, ["user_id", *R.CELL], "left")
         .select(
             "order_id", "user_id", "order_date",
-            F.coalesce("same_day", "carried").alias("prev_order_date"),
+            F.coalesce("in_cell", "carried").alias("prev_order_date"),
         )
         .withColumn("days_between", elapsed_days(F.col("prev_order_date"), F.col("order_date")))
     )

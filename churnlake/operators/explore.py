@@ -129,24 +129,42 @@ def outliers(df: DataFrame, columns: Sequence[str], accurate: bool = True) -> Da
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair of columns, over rows where both are present.
 
-    NULL where a column is constant, which the built-in ``corr`` turns into an error.
+    A first pass centres the columns; the second adds up their products, so that the
+    sums stay small and plain (one per pair) where no column has missing values.
+    NULL where a column is constant.
     """
-    present = df.agg(F.count(F.lit(1)), *[F.count(col(c)) for c in columns]).first()
-    gappy = {c for c, n in zip(columns, present[1:]) if n < present[0]}
-
-    def value(c: str, other: str) -> Column:
-        v = col(c).cast("double")
-        return F.when(col(other).isNotNull(), v) if other in gappy else v
+    first = df.agg(F.count(F.lit(1)), *[
+        F.struct(F.count(v).alias("n"), F.avg(v).alias("mean"),
+                 F.min(v).alias("lo"), F.max(v).alias("hi"))
+        for v in (col(c).cast("double") for c in columns)
+    ]).first()
+    seen = dict(zip(columns, first[1:]))
+    gappy = {c for c in columns if seen[c]["n"] < first[0]}
+    flat = {c for c in columns if seen[c]["lo"] == seen[c]["hi"]}
+    moved = df.select(*[(col(c).cast("double") - F.lit(seen[c]["mean"])).alias(f"x{i}")
+                        for i, c in enumerate(columns)])
+    place = {c: f"x{i}" for i, c in enumerate(columns)}
+
+    def within(c: str, other: str, value: Column) -> Column:
+        """A value over the rows that have the other column too."""
+        return F.when(F.col(place[other]).isNotNull(), value) if other in gappy else value
 
     def paired(a: str, b: str) -> Column:
-        x, y = value(a, b), value(b, a)
-        return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+        if a in flat or b in flat:
+            return F.lit(None).cast("double")
+        x, y = F.col(place[a]), F.col(place[b])
+        n = F.count(within(a, b, x))
+        sx, sy = F.sum(within(a, b, x)), F.sum(within(b, a, y))
+        xx = F.sum(within(a, b, x * x)) - F.try_divide(sx * sx, n)
+        yy = F.sum(within(b, a, y * y)) - F.try_divide(sy * sy, n)
+        xy = F.sum(x * y) - F.try_divide(sx * sy, n)
+        return F.try_divide(xy, F.sqrt(F.greatest(xx, F.lit(0.0)) * F.greatest(yy, F.lit(0.0))))
 
     pairs = [*combinations(columns, 2), *[(c, c) for c in columns]]
-    values = df.agg(F.array(*[
+    values = moved.agg(F.array(*[
         F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), paired(a, b).alias("corr"))
         for a, b in pairs
-    ]).alias("rows")).select(F.inline("rows"))
+    ]).alias("rows")).select(F.inline(F.col("rows")))
 
     def ordered(first: str, second: str) -> Column:
         return F.struct(

@@ -4,8 +4,9 @@ The built-in exact ``percentile`` gathers all distinct values of a group in one
 task, which does not hold for a continuous column at scale. Here a mergeable sketch
 first brackets each wanted rank between two values with guaranteed rank error. A
 second aggregation counts everything below the bracket as one number and keeps
-only the distinct values inside it, about 1/10000 of the rows. Both steps combine on
-the map side; a value held by a large share of the rows is one counted entry.
+only the distinct values inside it: some 100,000 at most up to 1e11 input rows, since the
+sketch gets finer with the data. Both steps combine on the map side; a value held by a
+large share of the rows is one counted entry.
 """
 
 from __future__ import annotations
@@ -21,7 +22,9 @@ from pyspark.sql import types as T
 from churnlake.functions.expressions import col
 from churnlake.session import small_frame
 
-SKETCH_ACCURACY = 100_000     # rank error of the sketch: n / SKETCH_ACCURACY
+SKETCH_ACCURACY = 100_000     # least accuracy; the rank error of the sketch is n / accuracy
+MAX_ACCURACY = 4_000_000      # bounds the sketch itself to some 100 MB
+INSIDE_ROWS = 100_000         # rows aimed at inside a bracket
 WHOLE_RANGE_ROWS = 1_000      # up to here the bracket is the whole range
 MAX_GROUPS = 5_000            # groups of a ``by`` column; checked before use
 
@@ -104,7 +107,9 @@ def value_column(name: str, columns: Sequence[str]) -> Column:
 
 def _brackets(pairs: DataFrame, found: Sequence[Extent], ranks_of: RanksOf) -> DataFrame:
     """A small table of (grp, variable, target, ranks, value bracket) per wanted rank pair."""
-    margin = 2.0 / SKETCH_ACCURACY
+    most = max((e.n for e in found), default=0)
+    accuracy = min(max(SKETCH_ACCURACY, 4 * most // INSIDE_ROWS), MAX_ACCURACY)
+    margin = 2.0 / accuracy
 
     def bounds(lower: int, upper: int, n: int) -> tuple[float, float]:
         return (max(0.0, lower / n - margin), min(1.0, (upper + 1) / n + margin))
@@ -117,7 +122,7 @@ def _brackets(pairs: DataFrame, found: Sequence[Extent], ranks_of: RanksOf) -> D
             p for e in large for pair in wanted[e.grp, e.variable] for p in bounds(*pair, e.n)
         })
         rows = pairs.groupBy("grp", "variable").agg(
-            F.percentile_approx("value", points, SKETCH_ACCURACY).alias("q")
+            F.percentile_approx("value", points, accuracy).alias("q")
         ).collect()
         sketch = {(r["grp"], r["variable"]): dict(zip(points, r["q"])) for r in rows}
     table = []

@@ -61,32 +61,45 @@ def _range_of(df: DataFrame, value: Column, edges: Sequence[float], name: str) -
     )
 
 
-def global_rank(df: DataFrame, value: str, tie: str, rank: str = "rank") -> DataFrame:
-    """Unique 1-based rank by value, ties in order of a numeric id; missing values last."""
-    with kept(df.select(value, tie)) as narrow:
-        present = narrow.where(E.col(value).isNotNull())
-        edges, frequent = _edges(split_points(present, value))
-        tie_edges = sorted(set(split_points(narrow, tie))) if frequent else []
-    ranged = _range_of(df, E.col(value), edges, "__range")
+CELL = ("__range", "__sub")
+
+
+def ordered_cells(df: DataFrame, value: Column, tie: str) -> DataFrame:
+    """Adds ``__range`` and ``__sub``: cells that follow the order of (value, id).
+
+    No cell holds much more than its share of the rows, whatever the data: ranges come
+    from approximate quantiles of the value, and a range filled by one frequent value is
+    split further by quantiles of the id. Missing values form the last range, split too.
+    """
+    marked = df.withColumn("__value", value)
+    with kept(marked.select("__value", tie)) as narrow:
+        present = narrow.where(F.col("__value").isNotNull())
+        edges, frequent = _edges(split_points(present, "__value"))
+        tie_edges = sorted(set(split_points(narrow, tie)))
+    ranged = _range_of(marked, F.col("__value"), edges, "__range")
     ranged = _range_of(ranged, E.col(tie), tie_edges, "__sub")
     hot = [edges.index(v) + 1 for v in frequent]
-    split = F.col("__range").isin(*hot) if hot else F.lit(False)
-    missing = E.col(value).isNull()
-    ranged = ranged.withColumns({
-        "__sub": F.when(split | missing, F.col("__sub")).otherwise(0),
+    missing = F.col("__value").isNull()
+    split = (F.col("__range").isin(*hot) | missing) if hot else missing
+    return ranged.withColumns({
+        "__sub": F.when(split, F.col("__sub")).otherwise(0),
         "__range": F.when(missing, len(edges) + 2).otherwise(F.col("__range")),
-    })
-    cells = ["__range", "__sub"]
-    before = Window.orderBy(*cells).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = ranged.groupBy(*cells).agg(F.count(F.lit(1)).alias("__n")).select(
-        *cells, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset")
+    }).drop("__value")
+
+
+def global_rank(df: DataFrame, value: str, tie: str, rank: str = "rank") -> DataFrame:
+    """Unique 1-based rank by value, ties in order of a numeric id; missing values last."""
+    ranged = ordered_cells(df, E.col(value), tie)
+    before = Window.orderBy(*CELL).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranged.groupBy(*CELL).agg(F.count(F.lit(1)).alias("__n")).select(
+        *CELL, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset")
     )
-    inside = Window.partitionBy(*cells).orderBy(E.col(value), E.col(tie))
+    inside = Window.partitionBy(*CELL).orderBy(E.col(value), E.col(tie))
     return (
         ranged.withColumn("__place", F.row_number().over(inside))
-        .join(offsets, cells, "left")
+        .join(offsets, list(CELL), "left")
         .withColumn(rank, F.col("__offset") + F.col("__place"))
-        .drop(*cells, "__place", "__offset")
+        .drop(*CELL, "__place", "__offset")
     )
 
 

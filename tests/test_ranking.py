@@ -156,3 +156,29 @@ def test_split_does_not_depend_on_partitions(spark):
     a = M.split(df, "id", "label", 0.3).orderBy("id").collect()
     b = M.split(df.repartition(7), "id", "label", 0.3).orderBy("id").collect()
     assert a == b
+
+
+def test_previous_order_with_a_dominant_user_and_instant(spark):
+    """A third of all orders belong to one user, and many share one instant."""
+    from churnlake.operators import activity as A
+
+    rng = np.random.default_rng(6)
+    n = 3000
+    user = np.where(rng.random(n) < 0.4, 1, rng.integers(2, 60, n))
+    minute = np.where(rng.random(n) < 0.4, 5000, rng.integers(0, 40000, n))
+    pdf = pd.DataFrame({
+        "order_id": rng.permutation(n), "user_id": user,
+        "order_date": pd.Timestamp("2025-01-01") + pd.to_timedelta(minute, unit="min"),
+    })
+    orders = spark.createDataFrame(pdf).withColumn(
+        "order_date", F.col("order_date").cast("timestamp_ntz")
+    )
+    ordered = pdf.sort_values(["user_id", "order_date", "order_id"])
+    ordered["prev"] = ordered.groupby("user_id")["order_date"].shift(1)
+    expected = {r.order_id: None if pd.isna(r.prev) else r.prev.to_pydatetime()
+                for r in ordered.itertuples()}
+    got = {r["order_id"]: r["prev_order_date"] for r in A.previous_order(orders).collect()}
+    assert got == expected
+    cells = R.ordered_cells(orders, F.unix_timestamp("order_date"), "order_id")
+    largest = cells.groupBy(*R.CELL).count().agg(F.max("count")).first()[0]
+    assert largest < n / 4        # 8 ranges; no cell keeps a dominant share
