@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from churnlake import schema as S
 from churnlake.functions.expressions import elapsed_days, ts
 from churnlake.operators import ranking as R
+from churnlake.operators.joins import lookup
 from churnlake.sources.tables import ShopTables
 
 
@@ -186,13 +187,11 @@ def item_categories(order_items: DataFrame, products: DataFrame) -> DataFrame:
     """Distinct (order, category) pairs of the sold items.
 
     Folding to pairs right after the product lookup combines on the map side, so an
-    order with very many lines is small before the join with orders. The lookup itself is
-    left to the optimizer: small product tables are broadcast by their size, larger ones
-    are hash-joined, and there the item side can be split where one product dominates.
+    order with very many lines is small before the join with orders.
     """
     return (
-        order_items.select("order_id", "product_id")
-        .join(products.select("product_id", "category_id"), "product_id", "left")
+        lookup(order_items.select("order_id", "product_id"),
+               products.select("product_id", "category_id"), "product_id")
         .where(F.col("category_id").isNotNull())
         .select("order_id", "category_id")
         .distinct()

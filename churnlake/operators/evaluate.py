@@ -184,7 +184,7 @@ def _curve_counts(scores: DataFrame, by: Sequence[str], grid: int | None = None)
     if grid:
         step = F.floor(F.col("score") * grid) / grid
         rows = rows.withColumn("score", step)
-    points = R.split_points(rows, "score")
+    (points,) = R.split_points(rows, "score")
     cum = R.running_sums(
         _distinct_scores(rows, by), "score", ["pos", "neg"], points, by, descending=True
     )

@@ -108,7 +108,7 @@ def mann_whitney_statistics(df: DataFrame, columns: Sequence[str],
         F.count_if(F.col("grp") == 0).alias("a"), F.count_if(F.col("grp") == 1).alias("b"),
     ).withColumn("t", F.col("a") + F.col("b"))
     placed = R.running_sums(
-        counts, "value", ["t"], R.split_points(pairs, "value"), by=["variable"]
+        counts, "value", ["t"], *R.split_points(pairs, "value"), by=["variable"]
     )
     t = F.col("t").cast("double")
     rank = F.col("cum_t") - (F.col("t") - 1) / 2

@@ -30,19 +30,26 @@ def range_count(df: DataFrame) -> int:
     return max(2, min(wanted, MAX_RANGES))
 
 
-def split_points(df: DataFrame, value: str, ranges: int | None = None) -> list[float]:
-    """Approximate quantiles of a column; a frequent value appears more than once."""
+def split_points(df: DataFrame, *columns: str, ranges: int | None = None) -> list[list[float]]:
+    """Approximate quantiles of each column, from one pass; a frequent value shows more
+    than once among the points of its column."""
     ranges = ranges or range_count(df)
     probs = [i / ranges for i in range(1, ranges)]
-    row = df.select(E.col(value).cast("double").alias("v")).agg(
-        F.percentile_approx("v", probs, 20 * ranges)
-    ).first()
-    return [p for p in (row[0] or []) if math.isfinite(p)]
+    row = df.agg(*[
+        F.percentile_approx(E.col(c).cast("double"), probs, 20 * ranges).alias(f"p{i}")
+        for i, c in enumerate(columns)
+    ]).first()
+    return [[p for p in (points or []) if math.isfinite(p)] for points in row]
+
+
+def frequent_points(points: Sequence[float]) -> set[float]:
+    """Values that show more than once among the split points of a column."""
+    return {v for v, times in Counter(points).items() if times > 1}
 
 
 def _edges(points: Sequence[float]) -> tuple[list[float], set[float]]:
     """Range starts, and those starts whose range holds a single frequent value."""
-    frequent = {v for v, times in Counter(points).items() if times > 1}
+    frequent = frequent_points(points)
     edges = sorted(set(points) | {math.nextafter(v, math.inf) for v in frequent})
     return edges, frequent
 
@@ -72,10 +79,9 @@ def ordered_cells(df: DataFrame, value: Column, tie: str) -> DataFrame:
     split further by quantiles of the id. Missing values form the last range, split too.
     """
     marked = df.withColumn("__value", value)
-    with kept(marked.select("__value", tie)) as narrow:
-        present = narrow.where(F.col("__value").isNotNull())
-        edges, frequent = _edges(split_points(present, "__value"))
-        tie_edges = sorted(set(split_points(narrow, tie)))
+    points, ids = split_points(marked, "__value", tie)
+    edges, frequent = _edges(points)
+    tie_edges = sorted(set(ids))
     ranged = _range_of(marked, F.col("__value"), edges, "__range")
     ranged = _range_of(ranged, E.col(tie), tie_edges, "__sub")
     hot = [edges.index(v) + 1 for v in frequent]
@@ -140,7 +146,7 @@ def average_rank(df: DataFrame, value: str, rank: str = "avg_rank") -> DataFrame
     """Distinct values with their count and the mean rank shared by their ties."""
     present = df.where(E.col(value).isNotNull())
     counts = present.groupBy(value).agg(F.count(F.lit(1)).alias("n"))
-    placed = running_sums(counts, value, ["n"], split_points(present, value))
+    placed = running_sums(counts, value, ["n"], *split_points(present, value))
     return placed.select(
         value, "n", (F.col("cum_n") - F.col("n") + (F.col("n") + 1) / 2).alias(rank)
     )

@@ -136,9 +136,8 @@ def drivers(tables: ShopTables, out: str, ref: datetime | None = None,
     features, ref = feature_table(tables, out, ref, horizon_days)
     prepared, design = L.driver_design(features)
     specs = specs or L.DRIVER_MODELS
-    with kept(prepared) as rows:
-        fitted = L.fit_models(rows, design, specs, "user_id")
-        scores = _stage(fitted.scores, f"{out}/scores")
+    fitted = L.fit_models(_stage(prepared, f"{out}/prepared"), design, specs, "user_id")
+    scores = _stage(fitted.scores, f"{out}/scores")
     sweep = V.threshold_sweep(scores, S.FULL_GRID, ["model"])
     results = {
         "auc": V.auc(scores, ["model"]),
@@ -164,12 +163,9 @@ def training(features: DataFrame, out: str, specs: dict[str, L.Spec] | None = No
     """Train and compare models on the training feature table."""
     specs = specs or L.TRAINING_MODELS
     prepared, design = L.training_design(C.model_input(features), seed)
-    with kept(prepared) as rows:
-        fitted = L.fit_models(
-            rows, design, specs, "user_id", seed, carry=["age", "gender_bin"]
-        )
-        scores = _stage(fitted.scores, f"{out}/scores")
-        split = _stage(L.M.split_summary(rows, "label"), f"{out}/split_summary")
+    rows = _stage(prepared, f"{out}/prepared")
+    fitted = L.fit_models(rows, design, specs, "user_id", seed, carry=["age", "gender_bin"])
+    scores = _stage(fitted.scores, f"{out}/scores")
     results = {
         "model_compare": V.compare_models(scores),
         "threshold_summary": V.threshold_summary(scores, ["model"]),
@@ -178,7 +174,7 @@ def training(features: DataFrame, out: str, specs: dict[str, L.Spec] | None = No
         "reliability": V.reliability(scores, by=["model"]),
         "roc": V.roc_points(scores, ["model"]),
         "pr": V.pr_points(scores, ["model"]),
-        "split": split,
+        "split_summary": L.M.split_summary(rows, "label"),
     }
     for name, spec in specs.items():
         if not isinstance(spec, L.Logistic):

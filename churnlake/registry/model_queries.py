@@ -21,7 +21,7 @@ from churnlake.registry.base import query, r6, rounded
 from churnlake.registry.profile_queries import SEGMENT, SPLIT_SQL, assigned, training_rows
 from churnlake.registry.sql import CTES, NUMERIC
 from churnlake.registry.star_tables import EVENT_HORIZON_DAYS, HORIZON_DAYS
-from churnlake.session import keep
+from churnlake.session import keep, stage
 
 # --- H: hypothesis tests --------------------------------------------------------------
 
@@ -181,14 +181,16 @@ SMALL = {"logistic": L.Logistic(), "rf": L.Forest(20, 8, 2), "gbt": L.Boosting(1
 
 def fitted_drivers(spark: SparkSession, folder: str, *names: str) -> L.Fitted:
     prepared, design = L.driver_design(T.shop_features(spark, folder))
-    return L.fit_models(keep(prepared), design, {n: SMALL[n] for n in names}, "user_id")
+    return L.fit_models(
+        stage(prepared, "prepared"), design, {n: SMALL[n] for n in names}, "user_id"
+    )
 
 
 def fitted_training(spark: SparkSession, folder: str) -> L.Fitted:
-    rows = keep(C.model_input(training_rows(spark, folder)))
+    rows = stage(C.model_input(training_rows(spark, folder)), "model-input")
     prepared, design = L.training_design(rows)
     return L.fit_models(
-        keep(prepared), design, SMALL, "user_id", carry=["age", "gender_bin"]
+        stage(prepared, "prepared"), design, SMALL, "user_id", carry=["age", "gender_bin"]
     )
 
 

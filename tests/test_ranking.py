@@ -38,7 +38,7 @@ def test_global_rank(spark, values):
 
 def test_frequent_value_is_split_over_ranges(spark):
     df = frame(spark, skewed(4000))
-    edges, frequent = R._edges(R.split_points(df, "v"))
+    edges, frequent = R._edges(*R.split_points(df, "v"))
     assert frequent == {5.0} and 5.0 in edges
 
 
@@ -46,7 +46,7 @@ def test_frequent_value_is_split_over_ranges(spark):
 def test_running_sums(spark, descending):
     values = sorted(set(skewed(2000)))
     df = frame(spark, values)
-    out = R.running_sums(df, "v", ["user_id"], R.split_points(df, "v"), descending=descending)
+    out = R.running_sums(df, "v", ["user_id"], *R.split_points(df, "v"), descending=descending)
     pdf = out.toPandas().sort_values("v", ascending=not descending)
     assert (pdf["cum_user_id"] == pdf["user_id"].cumsum()).all()
 
