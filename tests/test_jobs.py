@@ -11,6 +11,7 @@ from churnlake import schema as S
 from churnlake.operators import activity as A
 from churnlake.operators import evaluate as V
 from churnlake.operators import models as L
+from churnlake.operators import order_stats as O
 from churnlake.operators import ranking as R
 from churnlake.operators import snapshot as N
 from churnlake.operators.features import user_features
@@ -98,6 +99,8 @@ def test_row_scale_data_never_meets_in_one_partition(spark, tables):
         "previous": A.previous_order(tables.orders),
         "roc": V.roc_points(scores, ["model"]),
         "sweep": V.threshold_sweep(scores, by=["model"]),
+        "quantiles": O.quantiles(scores, ["score", "id"], [0.25, 0.5], by="label"),
+        "medians": O.quantiles(scores, ["score", "id"], [0.5]),
     }
     for name, df in checked.items():
         for below in single_partition_inputs(plan(df)):
