@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -12,6 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+#: Fallback folders of local sessions, and staged paths, by application id.
+_OWN_FOLDERS: dict[str, str] = {}
+_STAGED: dict[str, list[str]] = {}
+
 
 def local_session(cores: str = "*", partitions: int = 8, app: str = "churnlake") -> SparkSession:
     """A session for tests and benchmarks on one machine; clusters bring their own."""
@@ -34,16 +40,20 @@ def shared_folder(spark: SparkSession) -> str:
     """Folder for staged tables that every executor can reach.
 
     A cluster names it in ``spark.checkpoint.dir``. Only a local session may fall
-    back to a temporary folder, since there the driver is the only machine.
+    back to a temporary folder, since there the driver is the only machine; it is
+    removed when the process ends.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    own = tempfile.mkdtemp(prefix="churnlake-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    app = spark.sparkContext.applicationId
+    if app not in _OWN_FOLDERS:
+        own = tempfile.mkdtemp(prefix="churnlake-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        _OWN_FOLDERS[app] = own
+    return _OWN_FOLDERS[app]
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -51,11 +61,24 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
     For a table that many passes read, such as one row per user out of all fact tables:
     it survives lost executors, cuts the plan and the task lineage of everything built
-    on it, and keeps column pruning, which an RDD checkpoint does not.
+    on it, and keeps column pruning, which an RDD checkpoint does not. The table stays
+    until ``clear_staged`` or, in a local session without a named folder, process end.
     """
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_staged(spark: SparkSession) -> int:
+    """Delete what this session staged, once the frames built on it are done with."""
+    paths = _STAGED.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for text in paths:
+        path = jvm.org.apache.hadoop.fs.Path(text)
+        path.getFileSystem(conf).delete(path, True)
+    return len(paths)
 
 
 def keep(df: DataFrame) -> DataFrame:

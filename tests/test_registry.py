@@ -10,7 +10,7 @@ import __spark_entry__ as entry
 import tools_check
 from tests.conftest import TESTDATA
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+from churnlake.registry import ORACLE, QUERIES  # noqa: E402
 
 # The operator inventory: S1-S11, P1-P16, J1-J4, A1-A25, W1-W6, T1-T5, F, H, M, L, E.
 INVENTORY = {"s": 11, "p": 16, "j": 4, "a": 25, "w": 6, "t": 5, "h": 3, "m": 6, "l": 12, "e": 16}
