@@ -11,6 +11,7 @@ from churnlake.llm import (
     decontaminate,
     fingerprint,
     langid,
+    language_model,
     licences,
     near_dup,
     packing,
@@ -153,3 +154,12 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *[count(kind).alias(f"n_{kind}") for kind in pii.KINDS],
         F.sha2(joined("base").cast("binary"), 256).alias("base_sha256"),
         joined("spans").alias("spans"))
+
+
+@_query
+def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by a model of six sevenths of them."""
+    rows = language_model.fit_and_score(_table(spark, sf_dir, "documents"),
+                                        langid.held_out("doc_id", 7, 2))
+    return rows.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score",
+                       "score")
