@@ -24,9 +24,8 @@ from churnlake.session import stage
 WORDS = 5
 BANDS, ROWS = 38, 5
 PLACES = BANDS * ROWS
-#: Pairs whose signatures agree in a share smaller than the limit by this are not verified: from
-#: 0.8 on the share's standard deviation is below 0.03, so the cut lies five of them away.
-SLACK = 0.15
+#: Sets up to this size are compared by 16 bits a hash, larger ones by 22.
+_WIDE, _TABLE = 1024, 1 << 22
 _BLOCK = 256
 _OPEN = np.uint32(0xFFFFFFFF)
 _STEP = U(0x9E3779B97F4A7C15)
@@ -130,12 +129,16 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Full shingle sets, and the same cut to 16 bits a hash (32 in sets over ``_WIDE``)."""
     for batch in batches:
         for row, values, ends in _batches_of_sets(batch.column(1), WORDS):
             offsets = pa.array(np.append(0, ends), pa.int32())
             lists = pa.ListArray.from_arrays(offsets, pa.array(values.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(ends)), lists],
-                                             names=["rep", "shingles"])
+            short = [values[a:b].astype(np.uint16 if b - a <= _WIDE else np.uint32).tobytes()
+                     for a, b in zip(np.append(0, ends[:-1]), ends)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(row, len(ends)), lists, pa.array(short, pa.binary())],
+                names=["rep", "shingles", "short"])
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -175,11 +178,13 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _cross_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components within a bucket whose signatures come near.
+    """Pairs of different components within a bucket that could be links.
 
-    ``members``: band, rep, label, n, signature. Buckets are cut into blocks of about
-    ``_BLOCK`` members by hash, and each task compares two blocks, so a bucket of any size
-    stays in bounded memory; only near pairs are emitted.
+    ``members``: band, rep, label, n, short. Buckets are cut into blocks of about ``_BLOCK``
+    members by hash, and each task compares two blocks, so a bucket of any size stays in
+    bounded memory. A pair is emitted if the shingles of one whose cut hashes the other holds
+    would be enough for a link; as the count is never below the true intersection, no link is
+    lost, and hardly any other pair comes through.
     """
     sizes = members.groupBy("band").agg(F.ceil(F.count("*") / _BLOCK).cast("int").alias("blocks"))
     placed = members.join(sizes, "band").withColumn(
@@ -187,21 +192,33 @@ def _cross_pairs(members: DataFrame, percent: int) -> DataFrame:
     copies = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     copies = copies.select("band", F.least("block", "with").alias("a"),
                            F.greatest("block", "with").alias("b"),
-                           "block", "rep", "label", "n", "signature")
+                           "block", "rep", "label", "n", "short")
 
     def compare(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
         block, a, b = (group[c].to_numpy() for c in ("block", "a", "b"))
         label, n = group["label"].to_numpy(), group["n"].to_numpy()
-        sig = _matrix(group["signature"].combine_chunks())
-        one, two = np.flatnonzero(block == a), np.flatnonzero(block == b)
+        values = [np.frombuffer(v, np.uint16 if k <= _WIDE else np.uint32)
+                  for v, k in zip(group["short"].to_pylist(), n)]
+        ends = np.cumsum(n)
+        flat = np.concatenate(values).astype(np.uint32)
+        low = (flat & np.uint32(0xFFFF)).astype(np.uint16)
+        names, counts = np.unique(label, return_counts=True)
         us, vs = [], []
-        for i in one:
-            same = (sig[two] == sig[i]).mean(axis=1)
-            fits = 100 * np.minimum(n[two], n[i]) >= percent * np.maximum(n[two], n[i])
-            hit = two[(same >= percent / 100 - SLACK) & fits & (label[two] != label[i])]
-            if a[0] == b[0]:
-                hit = hit[hit > i]
+        # of two components one at least is not the largest: only its members look around
+        for i in np.flatnonzero(label != names[counts.argmax()]):
+            fits = 100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i])
+            others = np.flatnonzero(fits & (label != label[i])
+                                    & ((block != block[i]) | (a[0] == b[0])))
+            if not len(others):
+                continue
+            most = _shared(values[i].astype(np.uint16), low, ends, others, 1 << 16)
+            if n[i] > _WIDE:
+                wide = n[others] > _WIDE
+                most[wide] = _shared(values[i] & np.uint32(_TABLE - 1),
+                                     flat & np.uint32(_TABLE - 1), ends, others[wide], _TABLE)
+            most = np.minimum(most, n[i])
+            hit = others[100 * most >= percent * (n[i] + n[others] - most)]
             us.append(np.repeat(i, len(hit)))
             vs.append(hit)
         u = pa.array(np.concatenate(us) if us else np.empty(0, np.int64))
@@ -213,6 +230,18 @@ def _cross_pairs(members: DataFrame, percent: int) -> DataFrame:
             .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
 
 
+def _shared(one: np.ndarray, flat: np.ndarray, ends: np.ndarray, others: np.ndarray,
+            size: int) -> np.ndarray:
+    """How many values of each of the other sets are among the one set's."""
+    if not len(others):
+        return np.empty(0, np.int64)
+    table = np.zeros(size, bool)
+    table[one] = True
+    upto = np.append(0, np.cumsum(table[flat]))
+    start = np.append(0, ends[:-1])
+    return upto[ends[others]] - upto[start[others]]
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """Groups of near-duplicate documents: doc_id, n_shingles, component_id, kept.
@@ -228,8 +257,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     found = stage(features(base), "shingle-features")
     classes = stage(found.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(
-        F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"),
-        F.first("signature").alias("signature")), "classes")
+        F.min("doc_id").alias("rep"), F.first("signature").alias("signature")), "classes")
     kind = dict(found.dtypes)["doc_id"]
     bands = classes.select("rep", "signature").mapInArrow(_bands, f"rep {kind}, band BIGINT")
     shared = bands.groupBy("band").agg(F.count("*").alias("members"), F.min("rep").alias("least"),
@@ -244,16 +272,17 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
             .distinct())
     involved = mass.select(F.col("rep").alias("doc_id"))
     texts = base.join(involved, "doc_id", "left_semi")
-    sets = texts.mapInArrow(_sets, f"rep {kind}, shingles ARRAY<BIGINT>")
-    sets = stage(sets.groupBy("rep").agg(F.first("shingles").alias("shingles")), "shingle-sets")
+    sets = stage(texts.mapInArrow(_sets, f"rep {kind}, shingles ARRAY<BIGINT>, short BINARY")
+                 .dropDuplicates(["rep"]), "shingle-sets")
     links = stage(verified(star, sets, percent), "hub-links")
     labels = components(links)
     labelled = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
         "label", F.coalesce("label", "rep"))
     split = (labelled.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
              .filter("lo < hi").select("band"))
-    rest = labelled.join(split, "band").join(classes.select("rep", "n", "signature"), "rep")
-    more = verified(_cross_pairs(rest.select("band", "rep", "label", "n", "signature"), percent),
+    rest = labelled.join(split, "band").join(
+        sets.select("rep", F.size("shingles").cast("bigint").alias("n"), "short"), "rep")
+    more = verified(_cross_pairs(rest.select("band", "rep", "label", "n", "short"), percent),
                     sets, percent)
     more = stage(more, "cross-links")
     if not more.isEmpty():
