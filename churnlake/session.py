@@ -67,20 +67,34 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged.staged_path = path
+    return staged
+
+
+def drop_staged(df: DataFrame) -> None:
+    """Delete the table that ``stage`` returned, once nothing will read it again."""
+    path = getattr(df, "staged_path", None)
+    if path is not None:
+        spark = df.sparkSession
+        _STAGED.get(spark.sparkContext.applicationId, []).remove(path)
+        _delete(spark, path)
 
 
 def clear_staged(spark: SparkSession) -> int:
     """Delete what this session staged, once the frames built on it are done with."""
     paths = _STAGED.pop(spark.sparkContext.applicationId, [])
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for text in paths:
-        path = jvm.org.apache.hadoop.fs.Path(text)
-        path.getFileSystem(conf).delete(path, True)
+    for path in paths:
+        _delete(spark, path)
     return len(paths)
 
 
+def _delete(spark: SparkSession, text: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(text)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def keep(df: DataFrame) -> DataFrame:
     """Persist a frame that several passes read; the caller may ``unpersist`` it.
 
