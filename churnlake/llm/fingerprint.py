@@ -85,11 +85,11 @@ def with_next(docs: DataFrame, payload: list[str], rows_per_cell: int = 512) ->
     widths = F.array(*[F.lit(max(1.0, (b - a) / steps)) for a, b in zip(edges, edges[1:])])
     coarse = (F.size(F.filter(F.array(*[F.lit(b) for b in bounds]),
                               lambda b: b <= F.col("doc_id"))) if bounds else F.lit(0))
-    coarse = F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(coarse)
-    celled = docs.withColumn("coarse", coarse).withColumn("fine", F.when(
-        F.col("coarse") < 0, F.lit(0).cast("bigint")).otherwise(F.floor(
-            (F.col("doc_id").cast("double") - F.get(lows, F.col("coarse")))
-            / F.get(widths, F.col("coarse")))))
+    coarse = F.when(F.col("doc_id").isNotNull(), coarse)
+    # not nullable, so that the join below adds no filter and all branches share one exchange
+    celled = docs.withColumn("coarse", F.coalesce(coarse, F.lit(-1))).withColumn(
+        "fine", F.coalesce(F.floor((F.col("doc_id").cast("double") - F.get(lows, F.col("coarse")))
+                                   / F.get(widths, F.col("coarse"))), F.lit(0).cast("bigint")))
     item = F.struct(*payload)
     order = Window.partitionBy("coarse", "fine").orderBy("doc_id", "tie")
     rows = celled.withColumns({"next": F.lead(item).over(order),
@@ -119,10 +119,12 @@ def edited_pairs(docs: DataFrame, fraction: float = FRACTION) -> DataFrame:
     ``text`` are read, so further columns cannot clash.
     """
     base = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    base = base.withColumns({"tie": F.xxhash64("text"), "sketch": sketch(F.col("text"), fraction)})
+    base = base.withColumn("tie", F.xxhash64("text"))
     half = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), F.length("text") - half),
                       F.substring(F.col("next.text"), F.lit(1), half))
-    return (with_next(base, ["text", "tie", "sketch"])
-            .withColumn("edited", edited)
-            .withColumn("edited_sketch", sketch(F.col("edited"), fraction)))
+    # sketches come after the exchange: computing the next one's again costs less than moving it
+    return (with_next(base, ["text"]).withColumn("edited", edited)
+            .withColumns({"sketch": sketch(F.col("text"), fraction),
+                          "edited_sketch": sketch(F.col("edited"), fraction),
+                          "next_sketch": sketch(F.col("next.text"), fraction)}))

@@ -45,7 +45,7 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         fingerprint.as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
         fingerprint.containment(F.col("sketch"), F.col("edited_sketch"),
                                 F.col("edited") == F.col("text")).alias("near_edited"),
-        fingerprint.containment(F.col("sketch"), F.col("next.sketch"),
+        fingerprint.containment(F.col("sketch"), F.col("next_sketch"),
                                 F.col("next.text") == F.col("text")).alias("near_next"),
     )
 
