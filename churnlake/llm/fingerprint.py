@@ -68,8 +68,8 @@ def merge(sketches: DataFrame, keys: list[str], kept: str = "sketch") -> DataFra
             .groupBy(*keys).agg(F.sort_array(F.collect_list("h")).alias(kept)))
 
 
-def with_next(docs: DataFrame, payload: list[str], rows_per_cell: int = 512) -> DataFrame:
-    """Add ``next``, a struct of the payload of the row with the next ``doc_id`` in order.
+def with_next(docs: DataFrame, payload: str, rows_per_cell: int = 512) -> DataFrame:
+    """Add ``next``, the payload (not null) of the row with the next ``doc_id`` in order.
 
     The last row gets the first one's; rows with one id follow by the hash ``tie``. The order
     is cut into cells by id (quantiles, then even steps between them), neighbours meet by a
@@ -90,12 +90,11 @@ def with_next(docs: DataFrame, payload: list[str], rows_per_cell: int = 512) ->
     celled = docs.withColumn("coarse", F.coalesce(coarse, F.lit(-1))).withColumn(
         "fine", F.coalesce(F.floor((F.col("doc_id").cast("double") - F.get(lows, F.col("coarse")))
                                    / F.get(widths, F.col("coarse"))), F.lit(0).cast("bigint")))
-    item = F.struct(*payload)
     order = Window.partitionBy("coarse", "fine").orderBy("doc_id", "tie")
-    rows = celled.withColumns({"next": F.lead(item).over(order),
+    rows = celled.withColumns({"next": F.lead(payload).over(order),
                                "head": F.lag(F.lit(1)).over(order).isNull()})
     across = Window.partitionBy("coarse").orderBy("fine")
-    heads = rows.filter("head").select("coarse", "fine", item.alias("item"))
+    heads = rows.filter("head").select("coarse", "fine", F.col(payload).alias("item"))
     heads = heads.withColumns({"after": F.lead("item").over(across),
                                "head": F.lag(F.lit(1)).over(across).isNull()})
     # at most _COARSE + 1 rows are left here
@@ -122,9 +121,9 @@ def edited_pairs(docs: DataFrame, fraction: float = FRACTION) -> DataFrame:
     base = base.withColumn("tie", F.xxhash64("text"))
     half = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), F.length("text") - half),
-                      F.substring(F.col("next.text"), F.lit(1), half))
+                      F.substring(F.col("next"), F.lit(1), half))
     # sketches come after the exchange: computing the next one's again costs less than moving it
-    return (with_next(base, ["text"]).withColumn("edited", edited)
+    return (with_next(base, "text").withColumn("edited", edited)
             .withColumns({"sketch": sketch(F.col("text"), fraction),
                           "edited_sketch": sketch(F.col("edited"), fraction),
-                          "next_sketch": sketch(F.col("next.text"), fraction)}))
+                          "next_sketch": sketch(F.col("next"), fraction)}))

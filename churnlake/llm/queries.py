@@ -46,7 +46,7 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         fingerprint.containment(F.col("sketch"), F.col("edited_sketch"),
                                 F.col("edited") == F.col("text")).alias("near_edited"),
         fingerprint.containment(F.col("sketch"), F.col("next_sketch"),
-                                F.col("next.text") == F.col("text")).alias("near_next"),
+                                F.col("next") == F.col("text")).alias("near_next"),
     )
 
 
