@@ -81,8 +81,15 @@ def in_model_cohort(age: Column, gender_flag: Column) -> Column:
 
 
 def to_number(value: Column) -> Column:
-    """Text to double; text that is no number becomes NULL instead of an error."""
-    return value.try_cast("double")
+    """Text to double; text that is no number becomes NULL instead of an error.
+
+    Type letters after a number (``1.0d``) make it none; single underscores between digits
+    are read over.
+    """
+    text = F.regexp_replace(F.btrim(value.cast("string"), F.lit(" \t\r\n")),
+                            "(?<=[0-9])_(?=[0-9])", "")
+    number = text.rlike(r"(?i)^[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?|inf|infinity|nan)$")
+    return F.when(number, text.try_cast("double"))
 
 
 def finite(value: Column) -> Column:

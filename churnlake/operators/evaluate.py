@@ -84,7 +84,8 @@ def full_metrics(scores: DataFrame, threshold: float = 0.5, by: Sequence[str] =
 
 
 def grid_points(grid: tuple[float, float, int]) -> list[float]:
-    return np.linspace(*grid).tolist()
+    """Even thresholds of (first, last, count), clipped to [0, 1], each once."""
+    return np.unique(np.clip(np.linspace(*grid), 0.0, 1.0)).tolist()
 
 
 def threshold_sweep(scores: DataFrame, grid: tuple[float, float, int] = S.FULL_GRID,

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from churnlake import schema as S
 from churnlake.functions.expressions import col
 from churnlake.operators import order_stats as O
+from churnlake.operators.mlprep import centre_and_scale
 from churnlake.sources.tables import ShopTables
 from churnlake.session import small_frame
 
@@ -247,13 +248,10 @@ def cluster_summary(df: DataFrame, cluster: str, features: Sequence[str],
 def cluster_z(df: DataFrame, cluster: str, features: Sequence[str]) -> DataFrame:
     """Cluster means as z-scores over the clusters (population deviation, 0 -> 1)."""
     means = df.groupBy(cluster).agg(*[F.avg(c).alias(c) for c in features])
-    spread = means.agg(
-        *[F.avg(c).alias(f"m_{c}") for c in features],
-        *[F.stddev_pop(c).alias(f"s_{c}") for c in features],
-    ).first()
+    found = centre_and_scale(means, features)
 
     def z(c: str) -> Column:
-        return ((F.col(c) - F.lit(spread[f"m_{c}"])) / F.lit(spread[f"s_{c}"] or 1.0)).alias(c)
+        return ((F.col(c) - F.lit(found[c][0])) / F.lit(found[c][1])).alias(c)
 
     return means.select(cluster, *[z(c) for c in features])
 

@@ -6,6 +6,7 @@ from the training rows; applying it is a projection.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -79,15 +80,30 @@ class Scaler:
         })
 
 
+def centre_and_scale(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
+    """Mean and population deviation by column; a constant column has its value and 1.
+
+    Sums of a constant are not exact, so its deviation comes out tiny instead of zero; equal
+    least and greatest values tell it, as does a deviation within rounding of the mean.
+    """
+    row = df.agg(*[f(col(c).cast("double")).alias(f"{n}{i}") for i, c in enumerate(columns)
+                   for n, f in (("m", F.avg), ("s", F.stddev_pop), ("lo", F.min), ("hi", F.max))]
+                 ).first()
+    out = {}
+    for i, c in enumerate(columns):
+        mean, spread, lo, hi = (row[f"{n}{i}"] for n in ("m", "s", "lo", "hi"))
+        if mean is None:
+            out[c] = (0.0, 1.0)
+        elif lo == hi:
+            out[c] = (lo, 1.0)
+        else:
+            out[c] = (mean, spread if spread > 10 * math.ulp(mean) else 1.0)
+    return out
+
+
 def fit_scaler(df: DataFrame, columns: Sequence[str]) -> Scaler:
-    row = df.agg(
-        *[F.avg(col(c)).alias(f"m{i}") for i, c in enumerate(columns)],
-        *[F.stddev_pop(col(c)).alias(f"s{i}") for i, c in enumerate(columns)],
-    ).first()
-    return Scaler(
-        {c: row[f"m{i}"] or 0.0 for i, c in enumerate(columns)},
-        {c: row[f"s{i}"] or 1.0 for i, c in enumerate(columns)},
-    )
+    found = centre_and_scale(df, columns)
+    return Scaler({c: m for c, (m, _) in found.items()}, {c: s for c, (_, s) in found.items()})
 
 
 def levels(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:

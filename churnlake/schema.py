@@ -32,8 +32,8 @@ TABLE_SCHEMAS = {
     "categories": "category_id INT, category_name STRING, parent_id DOUBLE",
     "user_interests": "user_id BIGINT, category_id INT",
 }
-REQUIRED_TABLES = ("users", "orders", "order_items", "user_logins", "cart_items")
-OPTIONAL_TABLES = ("products", "categories", "user_interests")
+REQUIRED_TABLES = ("users", "orders", "user_logins", "cart_items")
+OPTIONAL_TABLES = ("order_items", "products", "categories", "user_interests")
 
 # Event-time column of each table that can set the reference date.
 CLOCK_COLUMNS = {

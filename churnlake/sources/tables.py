@@ -7,6 +7,7 @@ from dataclasses import dataclass, fields
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnlake import schema as S
@@ -34,20 +35,36 @@ def read_table(spark: SparkSession, path: str, name: str, fmt: str = "csv") -> D
     """One shop table with its declared types; columns are never inferred.
 
     CSV files carry a header (a leading byte-order mark is dropped) and are matched
-    to the schema by column name, so extra or reordered columns do no harm.
+    to the schema by column name, so extra or reordered columns do no harm. Other formats
+    are cast to the declared types. NaN is read as missing.
     """
     declared = T.StructType.fromDDL(S.TABLE_SCHEMAS[name])
     if fmt != "csv":
-        return spark.read.format(fmt).load(path)
+        return _as_declared(spark.read.format(fmt).load(path), declared)
     header = spark.read.option("header", True).csv(path).columns
     types = {f.name: f.dataType for f in declared}
     full = T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in header])
-    return (
+    rows = (
         spark.read.schema(full)
         .option("header", True)
         .option("timestampNTZFormat", "yyyy-MM-dd[ ]['T'][HH:mm:ss][.SSSSSS]")
         .csv(path)
     )
+    return _as_declared(rows, declared)
+
+
+def _as_declared(df: DataFrame, declared: T.StructType) -> DataFrame:
+    """Declared columns in their types, with NULL for NaN; all others as they are."""
+    changed = {}
+    for field in declared:
+        if field.name in df.columns:
+            value = F.col(field.name)
+            if df.schema[field.name].dataType != field.dataType:
+                value = value.cast(field.dataType)
+            if isinstance(field.dataType, T.DoubleType):
+                value = F.when(~F.isnan(value), value)
+            changed[field.name] = value
+    return df.withColumns(changed)
 
 
 def read_tables(spark: SparkSession, folder: str, fmt: str = "csv") -> ShopTables:
