@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlake.llm.words import SPACED, U, mix, shingle_hashes, word_hashes
-from churnlake.session import stage
+from churnlake.session import drop_staged, stage
 
 WORDS = 5
 BANDS, ROWS = 38, 5
@@ -163,6 +163,7 @@ def components(edges: DataFrame) -> DataFrame:
         F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "links")
     labels = stage(edges.groupBy(F.col("u").alias("node")).agg(
         F.least(F.min("v"), F.first("u")).alias("label")), "labels")
+    held = labels
     while True:
         near = (edges.join(labels.withColumnRenamed("node", "v"), "v")
                 .groupBy(F.col("u").alias("node")).agg(F.min("label").alias("near")))
@@ -173,7 +174,11 @@ def components(edges: DataFrame) -> DataFrame:
             "node", F.least("to", F.coalesce("next", "to")).alias("label"),
             (F.least("to", F.coalesce("next", "to")) != F.col("label")).alias("moved")), "labels")
         labels = after.select("node", "label")
-        if after.filter("moved").isEmpty():
+        still = not after.filter("moved").isEmpty()
+        for done in (held, *([] if still else [edges])):
+            drop_staged(done)
+        held = after
+        if not still:
             return labels
 
 
@@ -292,9 +297,14 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     # a class without links is its own component; its smallest id comes with the class
     own = classes.select("digest", "rep").join(named, "digest", "left").select(
         "digest", F.coalesce("label", "rep").alias("component_id"))
-    out = found.select("doc_id", "n_shingles", "digest").join(
-        own, (found["digest"] == own["digest"]) & (found["n_shingles"] > 0)
-        & found["doc_id"].isNotNull(), "left")
-    return out.select("doc_id", "n_shingles",
+    ids = found.select("doc_id", "n_shingles", "digest")
+    out = ids.join(
+        own, (ids["digest"] == own["digest"]) & (ids["n_shingles"] > 0)
+        & ids["doc_id"].isNotNull(), "left")
+    result = stage(out.select("doc_id", "n_shingles",
                       F.coalesce("component_id", "doc_id").alias("component_id")).withColumn(
-        "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+        "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))),
+        "near-duplicates")
+    for table in (found, classes, members, sets, links, more):
+        drop_staged(table)
+    return result
