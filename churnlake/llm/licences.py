@@ -5,12 +5,13 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlake.session import small_frame
+from churnlake.session import small_frame, stage
 
 # Equivalent spellings, by the form that is kept.
 SPELLINGS = {
@@ -87,13 +88,21 @@ _WORD = re.compile(r"[^\W_]+")
 _COPYRIGHT = re.compile(r"^[\W_]*(?:copyright\b|\(c\)|©|all rights reserved\b)", re.I)
 
 
+def _line(line: str) -> str:
+    if _COPYRIGHT.match(line):
+        return ""
+    return " ".join([SPELLINGS.get(w, w) for w in _WORD.findall(line.lower())])
+
+
+#: Lines repeat across a text's blocks and its copies; only short ones are remembered.
+_SHORT = 400
+_short_line = lru_cache(maxsize=1 << 14)(_line)
+
+
 def canonical(text: str) -> str:
     """Lower case, words only, equivalent spellings, no copyright lines, single spaces."""
-    words: list[str] = []
-    for line in text.splitlines():
-        if not _COPYRIGHT.match(line):
-            words += _WORD.findall(line.lower())
-    return " ".join(SPELLINGS.get(w, w) for w in words)
+    return " ".join(filter(None, [
+        (_short_line if len(line) <= _SHORT else _line)(line) for line in text.splitlines()]))
 
 
 def digest(text: str) -> str | None:
@@ -141,11 +150,13 @@ def scan(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id"
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = dict(base.dtypes)["doc_id"]
     units = base.mapInArrow(_units, f"doc_id {kind}, unit STRING, digest STRING")
-    whole = units.filter("unit = 'text'").join(known, "digest", "left")
-    parts = (units.filter("unit = 'part'").join(known, "digest")
-             .groupBy(F.col("doc_id").alias("of"))
+    # texts are read once: whole texts and the few parts that match are written and read back
+    found = stage(units.join(known, "digest", "left")
+                  .filter("unit = 'text' OR licence IS NOT NULL"), "licence-matches")
+    parts = (found.filter("unit = 'part'").groupBy(F.col("doc_id").alias("of"))
              .agg(F.array_sort(F.collect_set("licence")).alias("part_licences")))
-    return (whole.join(parts, F.col("doc_id").eqNullSafe(F.col("of")), "left")
+    return (found.filter("unit = 'text'")
+            .join(parts, F.col("doc_id").eqNullSafe(F.col("of")), "left")
             .select("doc_id", "digest", "licence",
                     F.coalesce("part_licences", F.array().cast("array<string>"))
                     .alias("part_licences")))
