@@ -235,7 +235,7 @@ def query_blocks(benchmark: DataFrame, id_col: str, text_col: str, limit: int) -
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                   text_col: str = "text", item_col: str = "item_id",
                   item_text_col: str = "text", slop: int = 0,
-                  query_words: int = QUERY_WORDS) -> DataFrame:
+                  query_words: int = QUERY_WORDS, index: DataFrame | None = None) -> DataFrame:
     """Words and items of the benchmark found in each document.
 
     Returns a row per input row: doc_id, n_words, n_hit (words inside any matched window),
@@ -243,9 +243,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     ``WINDOW`` consecutive words of an item, or all of a shorter one. Null or empty texts and
     items have no words and match nothing; repeated rows each get their own result; an empty
     table on either side gives no hits. Items with a null id are looked up like others but
-    not listed. Only the named columns are read.
+    not listed. Only the named columns are read. ``index`` is that of ``docs`` if the caller has
+    built it, who may then drop it once the result is written; it is built by default.
     """
-    index = build_index(docs, id_col, text_col)
+    index = build_index(docs, id_col, text_col) if index is None else index
     found = None
     for block in query_blocks(benchmark, item_col, item_text_col, query_words):
         windows = Windows([(i if i is not None else "", t) for i, t in block])

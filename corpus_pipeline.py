@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlake.llm import decontaminate, langid, near_dup, packing, pii
-from churnlake.session import stage
+from churnlake.session import drop_staged, stage
 
 #: Texts whose best language has a smaller probability are rejected, like those without letters.
 MIN_LANGUAGE_SCORE = 0.5
@@ -61,9 +61,12 @@ def decontaminate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     keyed = docs.withColumn(key, F.concat_ws(":", F.coalesce(
         F.col("doc_id").cast("string"), F.lit("none")), F.xxhash64("text").cast("string")))
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontaminate.contamination(keyed.select(key, "text"), benchmark, id_col=key)
+    index = decontaminate.build_index(keyed, id_col=key)
+    found = decontaminate.contamination(keyed.select(key, "text"), benchmark, id_col=key,
+                                        index=index)
     hit = stage(found.filter("n_hit > 0").select(F.col("doc_id").alias(key)).distinct(),
                 "contaminated")
+    drop_staged(index)
     return keyed.join(hit, key, "left_anti").select(*docs.columns)
 
 
