@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -20,7 +18,6 @@ from churnlake.session import kept, small_frame
 
 MICRO_CLUSTERS = 200
 DENDROGRAM_ROWS = 800
-SILHOUETTE_ROWS = 1000
 
 
 def scaled_vectors(df: DataFrame, features: Sequence[str] = S.SEGMENT_FEATURES,
@@ -54,70 +51,43 @@ def nearest_centre(values: Sequence[Column], centres: Sequence[Sequence[float]])
 
 def silhouettes_by_k(vectors: DataFrame, ks: Sequence[int] = (3, 4, 5, 6), seed: int = 42,
                      key: str = "user_id") -> DataFrame:
-    """Silhouettes for several k: squared Euclidean over all rows in linear time, and
-    Euclidean against a bounded reference sample."""
+    """Squared Euclidean silhouette over all rows for several k."""
     rows = []
-    squared = ClusteringEvaluator(featuresCol="features", predictionCol="cluster")
     with kept(vectors.select(key, "features")) as points:
         for k in ks:
             labelled, _ = kmeans(points, k, seed, "cluster")
             with kept(labelled) as held:
-                euclidean = silhouette(held, "cluster", key).first()["silhouette"]
-                rows.append((k, float(squared.evaluate(held)), euclidean))
-    return small_frame(
-        vectors.sparkSession, rows, "k INT, silhouette_squared DOUBLE, silhouette DOUBLE"
-    )
+                rows.append((k, silhouette(held, "cluster").first()["silhouette"]))
+    return small_frame(vectors.sparkSession, rows, "k INT, silhouette DOUBLE")
 
 
-def silhouette(labelled: DataFrame, cluster: str, key: str = "user_id",
-               rows: int = SILHOUETTE_ROWS, seed: int = 42,
-               features: str = "features") -> DataFrame:
-    """Mean Euclidean silhouette of all rows against a bounded reference sample.
+def silhouette(labelled: DataFrame, cluster: str, features: str = "features") -> DataFrame:
+    """Mean squared Euclidean silhouette of all rows, and their number, in linear time.
 
-    Distances to all rows are quadratic, so every row is compared with at most ``rows``
-    reference rows (the seeded sample), whose points travel to the tasks. With no more
-    rows than that the result is the exact silhouette. A row's own point never counts.
+    The mean squared distance of a row to a cluster follows from the cluster's size, sum of
+    points and sum of squares, so two passes of plain aggregates do; only those sums, one line
+    per cluster, reach the driver. A row's own point never counts, and a row alone in its cluster,
+    or without any other cluster, has 0. An empty table has a null silhouette.
     """
-    picked = M.seeded_sample(labelled.select(key, cluster, features), key, rows, seed).select(
-        key, cluster, vector_to_array(features).alias("x")
-    ).collect()
-    points = np.array([r["x"] for r in picked], dtype=float)
-    ids = np.array([r[key] for r in picked])
-    tags = np.array([r[cluster] for r in picked])
-    names, codes = np.unique(tags, return_inverse=True)
-    member = np.eye(len(names))[codes]
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch) == 0:
-                continue
-            total, count = 0.0, 0
-            x = np.stack(batch["x"].to_numpy())
-            own_id, own_tag = batch["id"].to_numpy(), batch["tag"].to_numpy()
-            for start in range(0, len(x), 1000):
-                part = slice(start, start + 1000)
-                gaps = np.sqrt(((x[part, None, :] - points[None, :, :]) ** 2).sum(axis=2))
-                itself = own_id[part, None] == ids[None, :]
-                sums = (gaps * ~itself) @ member
-                sizes = (~itself).astype(float) @ member
-                mine = own_tag[part, None] == names[None, :]
-                with np.errstate(invalid="ignore", divide="ignore"):
-                    mean = sums / sizes
-                    inner = np.where(mine, mean, np.nan)
-                    outer = np.where(mine, np.inf, np.where(sizes > 0, mean, np.inf))
-                    a = np.nansum(np.where(mine, inner, 0.0), axis=1)
-                    b = outer.min(axis=1)
-                    value = (b - a) / np.maximum(a, b)
-                alone = ~(mine & (sizes > 0)).any(axis=1)
-                value[alone | ~np.isfinite(value)] = 0.0
-                total += float(value.sum())
-                count += len(value)
-            yield pd.DataFrame({"total": [total], "n": [count]})
-
-    sums = labelled.select(
-        col(key).alias("id"), col(cluster).alias("tag"), vector_to_array(features).alias("x")
-    ).mapInPandas(score, "total DOUBLE, n BIGINT")
-    return sums.agg((F.sum("total") / F.sum("n")).alias("silhouette"), F.sum("n").alias("n"))
+    points = labelled.select(col(cluster).alias("tag"), vector_to_array(features).alias("x"))
+    first = points.select(F.size("x").alias("p")).first()
+    x = [F.col("x")[i] for i in range(first["p"] if first else 0)]
+    square = sum((v * v for v in x), F.lit(0.0))
+    groups = points.groupBy("tag").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(square).alias("q"),
+        *[F.sum(v).alias(f"s{i}") for i, v in enumerate(x)]).collect()
+    inner, outer = F.lit(None).cast("double"), [F.lit(None).cast("double")]
+    for g in groups:
+        product = sum((v * F.lit(g[f"s{i}"]) for i, v in enumerate(x)), F.lit(0.0))
+        total = F.greatest(square * F.lit(g["n"]) - product * 2 + F.lit(g["q"]), F.lit(0.0))
+        own = F.col("tag") == F.lit(g["tag"])
+        inner = F.when(own & F.lit(g["n"] > 1), total / F.lit(max(g["n"] - 1, 1))).otherwise(inner)
+        outer.append(F.when(~own, total / F.lit(g["n"])))
+    pair = points.select(inner.alias("a"), F.array_min(F.array(*outer)).alias("b"))
+    value = F.coalesce((F.col("b") - F.col("a")) / F.nullif(F.greatest("a", "b"), F.lit(0.0)),
+                       F.lit(0.0))
+    value = F.when(F.col("a").isNull() | F.col("b").isNull(), 0.0).otherwise(value)
+    return pair.agg(F.avg(value).alias("silhouette"), F.count(F.lit(1)).alias("n"))
 
 
 def ward_merges(points: np.ndarray, weights: np.ndarray) -> list[tuple[int, int, float, float]]:

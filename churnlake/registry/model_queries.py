@@ -257,6 +257,23 @@ def l6_cox_frame_events(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(rows, COX_REAL)
 
 
+COX_COUNTS = ["order_count", "login_count", "age"]
+
+
+@query("l6_duration_sums", f"""
+SELECT CAST(duration AS BIGINT) AS duration, CAST(event AS BIGINT) AS event, count(*) AS n,
+       {', '.join(f'sum({c}) AS x{i}' for i, c in enumerate(COX_COUNTS))},
+       count(*)::DOUBLE AS w, {', '.join(f'sum({c}) AS wx{i}' for i, c in enumerate(COX_COUNTS))},
+       {', '.join(f'sum({a} * {b}) AS wx{i}_{j}' for i, a in enumerate(COX_COUNTS)
+                  for j, b in enumerate(COX_COUNTS) if j >= i)}
+FROM ({_cox_sql("s")}) GROUP BY duration, event""")
+def l6_duration_sums(spark: SparkSession, folder: str) -> DataFrame:
+    """What the first Newton step adds up, with plain covariates (mean 0, scale 1)."""
+    ref = T.shop_ref(spark, folder)
+    rows, _ = cox.cox_frame(T.shop_features(spark, folder), ref, HORIZON_DAYS)
+    return cox.duration_sums(rows, "duration", "event", COX_COUNTS, [0.0] * 3, [1.0] * 3, [0.0] * 3)
+
+
 @query("l6_cox_model")
 def l6_cox_model(spark: SparkSession, folder: str) -> DataFrame:
     ref = T.shop_ref(spark, folder)
@@ -279,27 +296,21 @@ def l7_nearest_centre(spark: SparkSession, folder: str) -> DataFrame:
     return assigned(spark, folder).select("user_id", "cluster")
 
 
-SILHOUETTE_SAMPLE = 400
-
-
-@query("l8_silhouette", f"""
+@query("l8_silhouette", """
 SELECT round(avg(CASE WHEN a IS NULL OR b IS NULL OR greatest(a, b) = 0 THEN 0
                       ELSE (b - a) / greatest(a, b) END), 6) AS silhouette, count(*) AS n
 FROM (SELECT user_id, max(d) FILTER (cluster = other) AS a,
              min(d) FILTER (cluster <> other) AS b
       FROM (SELECT r.user_id, r.cluster, p.cluster AS other,
-                   avg(sqrt((r.z1 - p.z1) ** 2 + (r.z2 - p.z2) ** 2 + (r.z3 - p.z3) ** 2
-                            + (r.z4 - p.z4) ** 2)) FILTER (r.user_id <> p.user_id) AS d
-            FROM seg_assigned r CROSS JOIN (
-              SELECT * FROM seg_assigned
-              ORDER BY CAST(('0x' || substr(md5(concat(user_id, ':42')), 1, 13)) AS BIGINT), user_id
-              LIMIT {SILHOUETTE_SAMPLE}) p
+                   avg((r.z1 - p.z1) ** 2 + (r.z2 - p.z2) ** 2 + (r.z3 - p.z3) ** 2
+                       + (r.z4 - p.z4) ** 2) FILTER (r.user_id <> p.user_id) AS d
+            FROM seg_assigned r CROSS JOIN seg_assigned p
             GROUP BY r.user_id, r.cluster, p.cluster)
       GROUP BY user_id)""")
 def l8_silhouette(spark: SparkSession, folder: str) -> DataFrame:
-    """All rows against a bounded reference sample, as the operator does it at any size."""
-    rows = keep(assigned(spark, folder))
-    return rounded(G.silhouette(rows, "cluster", rows=SILHOUETTE_SAMPLE), ["silhouette"])
+    """All rows against all rows, in linear time."""
+    rows = stage(assigned(spark, folder).select("cluster", "features"), "assigned")
+    return rounded(G.silhouette(rows, "cluster"), ["silhouette"])
 
 
 @query("l8_silhouette_by_k")

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import itertools
+import time
 
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from churnlake.operators import cox
@@ -62,6 +64,25 @@ def test_cox_equals_row_level_newton(survival):
     assert rows["a"]["coef_low"] < 0.8 < rows["a"]["coef_high"]
 
 
+@pytest.mark.parametrize("deaths", [1, 7, 1024, 1025, 3000, 200_000])
+@pytest.mark.parametrize("survivors", [0.0, 3.5, 1e9])
+def test_tied_sums_equal_the_sums_over_events(deaths, survivors):
+    e0 = 0.7 * deaths
+    s0 = e0 + survivors
+    share = np.arange(deaths) / deaths
+    r = 1 / (survivors + e0 * (np.arange(deaths, 0, -1) / deaths))
+    expected = [np.log(r), r, share * r, r * r, share * r * r, share * share * r * r]
+    np.testing.assert_allclose(
+        cox.tied_sums(deaths, s0, s0 - survivors), [v.sum() for v in expected], rtol=1e-7)
+
+
+def test_a_billion_tied_events_take_no_time():
+    start = time.time()
+    sums = [cox.tied_sums(1_000_000_000, 3e9, 1e9) for _ in range(100)]
+    assert time.time() - start < 2
+    assert sums[0][1] == pytest.approx(np.log(1.5), rel=1e-6)  # integral of dt / (3 - t)
+
+
 def test_cox_sums_give_the_row_level_gradient(survival):
     pdf, df = survival
     beta = np.array([0.3, -0.01])
@@ -203,24 +224,37 @@ def test_clusters_are_recovered(blobs):
 
 
 def exact_silhouette(x: np.ndarray, tag: np.ndarray) -> float:
-    gaps = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
+    gaps = ((x[:, None] - x[None]) ** 2).sum(2)
     out = []
     for i in range(len(x)):
         same = (tag == tag[i]) & (np.arange(len(x)) != i)
-        a = gaps[i, same].mean()
-        b = min(gaps[i, tag == g].mean() for g in set(tag) - {tag[i]})
-        out.append((b - a) / max(a, b))
+        others = [gaps[i, tag == g].mean() for g in set(tag) - {tag[i]}]
+        a, b = (gaps[i, same].mean() if same.any() else 0.0), min(others, default=0.0)
+        out.append((b - a) / max(a, b) if same.any() and others and max(a, b) > 0 else 0.0)
     return float(np.mean(out))
 
 
-def test_silhouette_is_exact_when_all_rows_are_reference_rows(blobs):
+def test_silhouette_of_all_rows_is_exact(blobs):
     pdf, vectors = blobs
     z = vectors.select("z_a", "z_b").toPandas().to_numpy()
-    got = G.silhouette(vectors, "tag", rows=1000).first()
+    got = G.silhouette(vectors, "tag").first()
     assert got["n"] == 240
     assert got["silhouette"] == pytest.approx(exact_silhouette(z, pdf["tag"].to_numpy()))
 
 
+def test_silhouette_of_lone_rows_single_clusters_and_nothing(spark):
+    def score(rows):
+        df = spark.createDataFrame(rows, "tag INT, a DOUBLE, b DOUBLE")
+        made = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df)
+        return G.silhouette(made, "tag").first()
+
+    rows = [(0, 0.0, 0.0), (0, 0.0, 0.0), (0, 1.0, 0.0), (1, 5.0, 5.0), (2, 5.0, 4.0), (2, 6.0, 4.0)]
+    x, tag = np.array([r[1:] for r in rows]), np.array([r[0] for r in rows])
+    assert score(rows)["silhouette"] == pytest.approx(exact_silhouette(x, tag))
+    assert score(rows[:3])["silhouette"] == 0.0
+    assert tuple(score([])) == (None, 0)
+
+
 def test_pca_sign_and_variance(blobs):
     _, vectors = blobs
     plane, loadings = G.pca_coordinates(vectors)
