@@ -12,14 +12,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from churnlake.llm.sample import sample_texts
 from churnlake.llm.words import word_spans
 
 HIDDEN = 16
-#: Labelled rows of each language that training reads, smallest hashes first.
+#: Labelled texts of each language that training reads, smallest hashes first.
 SAMPLE_ROWS = 300
 STEPS, BATCH, RATE = 500, 256, 0.01
 #: Bytes that one run of the network reads; longer words are read in such pieces.
@@ -241,14 +242,13 @@ class Scorer:
 
 
 def fit(labelled: DataFrame, rows: int = SAMPLE_ROWS, steps: int = STEPS) -> Network | None:
-    """Train on the ``rows`` rows of each language with the smallest hashes of their text.
+    """Train on the ``rows`` distinct texts of each language with the smallest hashes.
 
     ``labelled`` has ``text`` and ``lang``; rows where either is null are left out.
     """
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
-    sample = (labelled.select("text", "lang").filter("text IS NOT NULL AND lang IS NOT NULL")
-              .withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= rows))
-    return train(sorted((r[0], r[1]) for r in sample.select("text", "lang").collect()), steps)
+    known = labelled.filter("text IS NOT NULL AND lang IS NOT NULL")
+    sample = sample_texts(known.select(F.col("lang").alias("label"), "text"), rows)
+    return train(sorted((r["text"], r["label"]) for r in sample.collect()), steps)
 
 
 def identify(docs: DataFrame, net: Network | None, text_col: str = "text",

@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from churnlake.llm.sample import sample_texts
+
 # Kinds in their order, and the base patterns.
 KINDS = ("email", "ip", "card", "phone")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -243,11 +245,10 @@ def train(texts: list[str], steps: int = 300, rate: float = 0.5, decay: float =
 
 
 def fit(docs: DataFrame, rows: int = SAMPLE_ROWS, text_col: str = "text") -> Field:
-    """Train on the ``rows`` texts with a node whose hashes are smallest."""
+    """Train on the ``rows`` distinct texts with a node whose hashes are smallest."""
     text = F.col(text_col)
-    sample = (docs.select(text.alias("text")).filter(text.rlike("[0-9@]"))
-              .orderBy(F.xxhash64("text"), "text").limit(rows).collect())
-    return train([r[0] for r in sample])
+    noded = docs.filter(text.rlike("[0-9@]")).select(F.lit("").alias("label"), text.alias("text"))
+    return train(sorted(r["text"] for r in sample_texts(noded, rows).collect()))
 
 
 def find(texts: list[str | None], field: Field) -> Iterator[tuple[list, list]]:
