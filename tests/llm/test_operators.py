@@ -23,6 +23,7 @@ from churnlake.llm import (
     near_dup,
     packing,
     pii,
+    sample,
     sharding,
     url_filter,
 )
@@ -419,6 +420,20 @@ def test_op10_awkward_rows(spark, odd):
     assert scorer.documents(pa.array(["", None, "12"]))[0] == [langid.UNKNOWN] * 3
 
 
+def test_samples_are_bounded_and_distinct(spark):
+    rows = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, "few").otherwise("many").alias("label"),
+        F.when(F.col("id") % 3 == 0, F.col("id") % 21).when(F.col("id") < 3000, F.lit(-1))
+        .otherwise(F.col("id")).cast("string").alias("text"))
+    got = sample.sample_texts(rows, 50).collect()
+    many = {r["text"] for r in got if r["label"] == "many"}
+    hashes = {r[0]: r[1] for r in rows.filter("label = 'many'").select(
+        "text", F.xxhash64("text")).distinct().collect()}
+    assert many == set(sorted(hashes, key=hashes.get)[:50])
+    assert {r["text"] for r in got if r["label"] == "few"} == {"0", "3", "6", "9", "12", "15", "18"}
+    assert len(got) == 57 and sample.sample_texts(rows.limit(0), 50).collect() == []
+
+
 def test_pipeline_stages(spark, odd, documents):
     columns = odd.columns
     docs = odd
