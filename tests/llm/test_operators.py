@@ -255,6 +255,41 @@ def test_op5_whole_texts_and_parts(spark, odd):
     assert len(licences.scan(odd).collect()) == 11 and licences.scan(odd.limit(0)).collect() == []
 
 
+def test_op5_ordinary_licence_files(spark):
+    """Titles, years, paragraphs and line breaks as in usual LICENSE files, alone and in a text."""
+    import textwrap
+
+    def wrapped(paragraphs, width):
+        return "\n\n".join(textwrap.fill(p, width) for p in paragraphs) + "\n"
+
+    body = licences.KNOWN["MIT"][2]
+    cuts = [body.index("The above copyright"), body.index("THE SOFTWARE IS")]
+    mit = [body[:cuts[0]], body[cuts[0]:cuts[1]], body[cuts[1]:]]
+    head = ["MIT License", "Copyright (c) 2021 The Tests Authors"]
+    files = {f"MIT-{width}": wrapped(head + mit, width) for width in (60, 70, 78, 200)}
+    bsd = licences.KNOWN["BSD-3-Clause"][0]
+    third = [bsd[:bsd.index("THIS SOFTWARE")], bsd[bsd.index("THIS SOFTWARE"):]]
+    files |= {f"BSD-3-Clause-{width}": wrapped(["BSD 3-Clause License", "Copyright 2020, Tests Inc.",
+                                                *third], width) for width in (61, 79)}
+    folder = licences.resources.files("churnlake.llm").joinpath("licence_texts")
+    for name in ("Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0"):
+        text = folder.joinpath(f"{name}.txt").read_text()
+        files[f"{name}-0"] = text
+        files[f"{name}-1"] = "\n\n".join(      # other line breaks, but notices keep their line
+            p if "opyright (" in p or "opyright [" in p else textwrap.fill(" ".join(p.split()), 66)
+            for p in text.split("\n\n"))
+    rows = [(name, text) for name, text in files.items()]
+    rows += [("in " + name, f"{BASE}\n\n{text}\n{BASE}\n") for name, text in files.items()]
+    got = collected(licences.scan(spark.createDataFrame(rows, "doc_id STRING, text STRING")))
+    for name in files:
+        licence = name.rpartition("-")[0]
+        assert licence == got[name]["licence"], name
+        assert got["in " + name]["licence"] is None, name
+        assert licence in got["in " + name]["part_licences"], name
+    assert licences.canonical("copyright holders be liable") == "copyright holders be liable"
+    assert licences.canonical("(c) You must retain") == "c you must retain"
+
+
 def test_op6_rules(spark, odd):
     urls = ["http://WWW.Example.com/en/x?y", "https://a.www.example.com/en/", "x://example.com/en/",
             "http://bexample.com/en/", "http://a.net/es/q", "http://a.net/es", "http://net", None,
