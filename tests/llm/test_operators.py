@@ -425,6 +425,47 @@ def test_op9_repeated_numbers_get_the_label(spark, odd):
     assert pii.detect(odd.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("form", ["14155552671", "4155552671", "1 415 555 2671", "415-555-2671"])
+def test_op9_evidence_reaches_every_repeat(documents, form):
+    """Fifty repeats in a form that the patterns miss, after and before the one they match."""
+    assert pii.base_spans(form) == []
+    field = pii.train(sorted(t for t in documents.values() if re.search("[0-9@]", t)))
+    for parts in (["+14155552671", *[form] * 50], [*[form] * 50, "+14155552671"]):
+        text = " and then ".join(parts)
+        (base, spans), = pii.find([text], field)
+        assert len(base) == 1 and [k for _, k, _ in spans] == [pii.KINDS.index("phone")] * 51
+        assert not re.search("[0-9]", pii.masked(text, spans))
+    (_, alone), = pii.find([" and then ".join([form] * 50)], field)
+    assert alone == []
+
+
+def test_op9_grouped_cards_are_one_node(documents):
+    field = pii.train(sorted(t for t in documents.values() if re.search("[0-9@]", t)))
+    card = "4111 1111 1111 1111"
+    text = f"pay {card} now" + f", then {card} {card}" * 25   # pairs are 32 digits, which fail
+    (base, spans), = pii.find([text], field)
+    assert len(base) == 1 and {text[a:b] for a, _, b in spans} == {card} and len(spans) == 51
+
+
+def test_op9_messages_settle():
+    """On a long chain the beliefs are those of exact forward and backward passes."""
+    rng = np.random.default_rng(3)
+    field = pii.Field(rng.normal(size=(pii.N_FEATURES, 5)) * 0.1, np.eye(5) * 3.0, np.eye(5) * 3.0)
+    text = "10.0.0.1 " + " ".join(["12"] * 60)
+    graph = pii.Graph(text, pii.base_spans(text))
+    unary = np.exp(np.array(graph.features, float) @ field.unary)
+    unary[0] = np.eye(5)[graph.evidence[0]]
+    pair, n = np.exp(field.chain), len(unary)
+    forward, backward = np.ones((n, 5)), np.ones((n, 5))
+    for i in range(1, n):
+        step = (forward[i - 1] * unary[i - 1]) @ pair
+        forward[i] = step / step.sum()
+        step = pair @ (backward[n - i] * unary[n - i])
+        backward[n - i - 1] = step / step.sum()
+    exact = forward * unary * backward
+    assert field.beliefs([graph]) == pytest.approx(exact / exact.sum(axis=1, keepdims=True), abs=1e-3)
+
+
 def test_op10_gradients_and_accuracy(spark):
     net = langid.Network(["a", "b"], hidden=3)
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
