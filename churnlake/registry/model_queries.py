@@ -175,22 +175,23 @@ def m7_model_input(spark: SparkSession, folder: str) -> DataFrame:
 
 # --- L: models ---------------------------------------------------------------------------
 
-# Smaller ensembles than the published runs, so that a check stays short.
-SMALL = {"logistic": L.Logistic(), "rf": L.Forest(20, 8, 2), "gbt": L.Boosting(15, 4, 0.1)}
+Specs = dict[str, L.Spec]
 
 
-def fitted_drivers(spark: SparkSession, folder: str, *names: str) -> L.Fitted:
+def fitted_drivers(spark: SparkSession, folder: str, *names: str,
+                   specs: Specs = L.DRIVER_MODELS) -> L.Fitted:
     prepared, design = L.driver_design(T.shop_features(spark, folder))
     return L.fit_models(
-        stage(prepared, "prepared"), design, {n: SMALL[n] for n in names}, "user_id"
+        stage(prepared, "prepared"), design, {n: specs[n] for n in names}, "user_id"
     )
 
 
-def fitted_training(spark: SparkSession, folder: str) -> L.Fitted:
+def fitted_training(spark: SparkSession, folder: str,
+                    specs: Specs = L.TRAINING_MODELS) -> L.Fitted:
     rows = stage(C.model_input(training_rows(spark, folder)), "model-input")
     prepared, design = L.training_design(rows)
     return L.fit_models(
-        stage(prepared, "prepared"), design, SMALL, "user_id", carry=["age", "gender_bin"]
+        stage(prepared, "prepared"), design, specs, "user_id", carry=["age", "gender_bin"]
     )
 
 
@@ -206,18 +207,21 @@ def l2_coefficients(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("l3_forest_scores")
-def l3_forest_scores(spark: SparkSession, folder: str) -> DataFrame:
-    return fitted_drivers(spark, folder, "rf").scores
+def l3_forest_scores(spark: SparkSession, folder: str,
+                     specs: Specs = L.DRIVER_MODELS) -> DataFrame:
+    return fitted_drivers(spark, folder, "rf", specs=specs).scores
 
 
 @query("l4_boosting_scores")
-def l4_boosting_scores(spark: SparkSession, folder: str) -> DataFrame:
-    return fitted_drivers(spark, folder, "gbt").scores
+def l4_boosting_scores(spark: SparkSession, folder: str,
+                       specs: Specs = L.DRIVER_MODELS) -> DataFrame:
+    return fitted_drivers(spark, folder, "gbt", specs=specs).scores
 
 
 @query("l5_feature_importance")
-def l5_feature_importance(spark: SparkSession, folder: str) -> DataFrame:
-    return L.top_importances(fitted_drivers(spark, folder, "rf"), "rf")
+def l5_feature_importance(spark: SparkSession, folder: str,
+                          specs: Specs = L.DRIVER_MODELS) -> DataFrame:
+    return L.top_importances(fitted_drivers(spark, folder, "rf", specs=specs), "rf")
 
 
 LAST = "greatest(last_purchase_date, last_login_at, last_cart_at)"
@@ -335,8 +339,9 @@ def l11_pca(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("l12_multi_model")
-def l12_multi_model(spark: SparkSession, folder: str) -> DataFrame:
-    scores = keep(fitted_training(spark, folder).scores)
+def l12_multi_model(spark: SparkSession, folder: str,
+                    specs: Specs = L.TRAINING_MODELS) -> DataFrame:
+    scores = keep(fitted_training(spark, folder, specs).scores)
     return V.compare_models(scores)
 
 

@@ -263,3 +263,30 @@ def test_pca_sign_and_variance(blobs):
         assert part.loc[part["loading"].abs().idxmax(), "loading"] > 0
     assert rows.groupby("component")["explained"].first().sum() == pytest.approx(1.0)
     assert plane.count() == 240
+
+
+def test_registered_ensembles_have_the_published_sizes(monkeypatch):
+    from churnlake.registry import QUERIES
+    from churnlake.registry import model_queries as Q
+
+    class Fits(Exception):
+        pass
+
+    def stop(prepared, design, specs, *args, **kwargs):
+        raise Fits({n: (s.trees, s.depth) for n, s in specs.items() if hasattr(s, "trees")})
+
+    monkeypatch.setattr(Q.L, "fit_models", stop)
+    for owner, name in ((Q.T, "shop_features"), (Q, "training_rows"), (Q.C, "model_input"),
+                        (Q, "stage")):
+        monkeypatch.setattr(owner, name, lambda *args: None)
+    for name in ("driver_design", "training_design"):
+        monkeypatch.setattr(Q.L, name, lambda *args: (None, None))
+    forest, driver, training = {"rf": (500, 30)}, {"gbt": (600, 5)}, {"rf": (500, 30), "gbt": (800, 5)}
+    for name, sizes in (("l3_forest_scores", forest), ("l4_boosting_scores", driver),
+                        ("l5_feature_importance", forest), ("l12_multi_model", training)):
+        with pytest.raises(Fits) as got:
+            QUERIES[name](None, "")
+        assert got.value.args[0] == sizes, name
+    with pytest.raises(Fits) as got:
+        Q.l3_forest_scores(None, "", specs={"rf": L.Forest(3, 2)})
+    assert got.value.args[0] == {"rf": (3, 2)}
