@@ -174,6 +174,7 @@ class Scorer:
     """
 
     LIMIT = 1_000_000
+    POSITIONS = 7
 
     def __init__(self, net: Network):
         self.net = net
@@ -221,7 +222,11 @@ class Scorer:
         return at[back]
 
     def documents(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
-        """Language and probability of each text; each word weighs as one observation."""
+        """Language and probability of each text, read word by word.
+
+        Every position counts alike: ``POSITIONS`` of them, a usual word and the blanks around
+        it, weigh as one observation, so a long run without blanks weighs by its length.
+        """
         k = len(self.net.languages)
         pooled = np.zeros((len(texts), k))
         for row, hashes, ends, spans in word_spans(texts):
@@ -229,9 +234,10 @@ class Scorer:
                 self._forget()
             at = self._rows(hashes, spans)
             of = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+            weight = (spans[2] + 2) / self.POSITIONS
             for j in range(k):
                 pooled[row:row + len(ends), j] = np.bincount(
-                    of, self.means[at, j], len(ends)) if len(at) else 0
+                    of, self.means[at, j] * weight, len(ends)) if len(at) else 0
         pooled -= pooled.max(axis=1, keepdims=True)
         prob = np.exp(pooled)
         prob /= prob.sum(axis=1, keepdims=True)

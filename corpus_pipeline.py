@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from churnlake.llm import decontaminate, langid, near_dup, packing, pii
 from churnlake.session import drop_staged, stage
 
-#: Texts whose best language has a smaller probability are rejected, like those without letters.
-MIN_LANGUAGE_SCORE = 0.5
 #: Documents are near duplicates from this similarity of their five-word shingle sets.
 NEAR_PERCENT = 80
 
@@ -21,7 +19,7 @@ def _free_name(docs: DataFrame, name: str) -> str:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the network tells with a probability of a half or more.
+    """Documents whose language the network tells, however sure it is.
 
     It learns from the labelled documents of the input; null, empty and letterless texts go.
     Without any labelled document nothing can be told, and all with a letter stay.
@@ -31,9 +29,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
         return docs.filter(F.col("text").rlike(r"\p{L}"))
     name = _free_name(docs, "language")
     rows = langid.identify(docs, net, out_col=name)
-    kept = (F.col(f"{name}.label") != langid.UNKNOWN) & (
-        F.col(f"{name}.score") >= MIN_LANGUAGE_SCORE)
-    return rows.filter(kept).select(*docs.columns)
+    return rows.filter(F.col(f"{name}.label") != langid.UNKNOWN).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

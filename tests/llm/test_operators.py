@@ -485,6 +485,17 @@ def test_op10_gradients_and_accuracy(spark):
     assert np.mean([got[i]["lang_pred"] == truth[i] for i in held]) >= 0.95
 
 
+def test_op10_long_runs_weigh_by_their_positions():
+    rng = np.random.default_rng(5)
+    letters = {"x": list("abcdefghijklm"), "y": list("nopqrstuvwxyz")}
+    rows = [(" ".join("".join(rng.choice(letters[name], 6)) for _ in range(20)), name)
+            for name in letters for _ in range(40)]
+    net = langid.train(rows)
+    run = "".join(rng.choice(letters["x"], 60))
+    labels, _ = langid.Scorer(net).documents(pa.array([run, run + " nop tuv qrs", "nop tuv qrs"]))
+    assert list(labels) == ["x", "x", "y"]
+
+
 def test_op10_awkward_rows(spark, odd):
     net = langid.fit(odd, steps=30)
     rows = collected(langid.identify(odd, net))
@@ -523,6 +534,21 @@ def test_pipeline_stages(spark, odd, documents):
         assert step(spark, empty, TESTDATA).count() == 0
 
 
+def test_pipeline_language_stage_rejects_only_unknown(spark, monkeypatch):
+    """A text whose best language is unsure stays, as op10 gives it a label."""
+    rows = [(i, f"la casa {i} es", "es") for i in range(5)] + [(9, "x", None), (10, "7 !", None)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, lang STRING")
+
+    def unsure(docs, net, out_col):
+        label = F.when(F.col("text").rlike("[a-z]"), "es").otherwise(langid.UNKNOWN)
+        return docs.withColumn(out_col, F.struct(label.alias("label"), F.lit(0.3).alias("score")))
+
+    monkeypatch.setattr(langid, "fit", lambda labelled: True)
+    monkeypatch.setattr(langid, "identify", unsure)
+    kept = corpus_pipeline.identify_language(spark, docs, "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 1, 2, 3, 4, 9]
+
+
 def test_pipeline_run(spark, documents):
     rows = corpus_pipeline.run(spark, TESTDATA).collect()
     check_sequences(rows, 1.01)
