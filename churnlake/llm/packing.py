@@ -2,10 +2,10 @@
 
 Only the histogram of piece lengths (at most ``capacity`` entries) reaches the driver. A
 configuration is a multiset of lengths that fits one sequence; the linear program covers the
-histogram by as few of them as possible and is solved by multiplicative weights, where each
-price vector asks a knapsack dynamic programme for the best configuration. Rounding down
-leaves a remainder that best fit packs, again on the histogram. Pieces then find their places
-by their rank among the pieces of equal length.
+whole histogram by as few of them as possible and is solved by multiplicative weights, where
+each price vector asks a knapsack dynamic programme for the best configuration. Amounts are
+rounded up as far as pieces last; the program is solved again for what is left, and best fit
+takes the small rest. Pieces then find their places by their rank among those of equal length.
 """
 
 from __future__ import annotations
@@ -21,11 +21,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from churnlake.llm.tasks import lean
 from churnlake.session import stage
 
 CAPACITY = 1024
 END_ID = 2
-ROUNDS = 200
 #: The special token's text, and the pre-token pattern of the vocabulary with
 #: possessive quantifiers, which match the same pieces without backtracking.
 SPECIAL = "<|endoftext|>"
@@ -84,6 +84,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID,
     kind = dict(base.dtypes)["doc_id"]
     end = np.array([end_id], "<u4").tobytes()
 
+    @lean
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Tokenizer(*made)
         for batch in batches:
@@ -114,52 +115,68 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID,
 
 
 def price(lengths: np.ndarray, values: np.ndarray, capacity: int) -> np.ndarray:
-    """The configuration of greatest value within the capacity: copies of each length."""
-    best = np.zeros(capacity + 1)
-    pick = np.full(capacity + 1, -1)
-    fits = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
+    """The configuration of greatest value within the capacity: copies of each length.
+
+    The best filling of a room is one piece or the best of its cuts into two rooms, and never
+    worse than that of the room before.
+    """
+    best, cut = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64)
+    single = np.zeros(capacity + 1)
+    single[lengths] = values
     for room in range(1, capacity + 1):
-        best[room], pick[room] = best[room - 1], -1
-        if fits[room]:
-            gains = best[room - lengths[:fits[room]]] + values[:fits[room]]
-            top = int(np.argmax(gains))
-            if gains[top] > best[room]:
-                best[room], pick[room] = gains[top], top
-    copies, room = np.zeros(len(lengths), np.int64), capacity
-    while room > 0:
-        if pick[room] < 0:
+        top, at = best[room - 1], -1                      # -1: one place stays empty
+        if single[room] > top:
+            top, at = single[room], 0                     # 0: one piece
+        half = room // 2
+        if half:
+            both = best[1:half + 1] + best[room - half:room][::-1]
+            k = int(both.argmax())
+            if both[k] > top:
+                top, at = both[k], k + 1                  # else: rooms of at and the rest
+        best[room], cut[room] = top, at
+    copies = np.zeros(capacity + 1, np.int64)
+    rooms = [capacity]
+    while rooms:
+        room = rooms.pop()
+        while room > 0 and cut[room] < 0:
             room -= 1
-        else:
-            copies[pick[room]] += 1
-            room -= lengths[pick[room]]
-    return copies
-
-
-def _fractional(lengths: np.ndarray, need: np.ndarray, capacity: int, rounds: int,
-                rate: float = 0.5) -> list[tuple[np.ndarray, float]]:
-    """Configurations with amounts that cover the histogram about evenly, summing to cover 1.
-
-    Weights start even over the pieces; a round adds the best configuration at prices weight
-    per piece, and weights of lengths fall with what they got. An amount covers a
-    ``rate`` share of what its scarcest length needs at most.
+        if room > 0 and cut[room] == 0:
+            copies[room] += 1
+        elif room > 0:
+            rooms += [int(cut[room]), room - int(cut[room])]
+    return copies[lengths]
+
+
+def fractional(lengths: np.ndarray, need: np.ndarray, capacity: int, rate: float = 1.0
+               ) -> tuple[list[tuple[np.ndarray, float]], float]:
+    """Configurations with amounts that together cover every length, and a lower bound.
+
+    Multiplicative weights: a length's weight falls with the share of its pieces that is
+    covered, a round adds the configuration that is best at prices weight per piece (asked of
+    the knapsack programme), by a ``rate`` share of what its scarcest length needs. Rounds end
+    when every length is covered. Any prices bound the number of sequences from below by the
+    worth of all pieces over that of the best configuration; the greatest such bound is returned.
     """
-    log_weight = np.zeros(len(lengths))
-    amounts: dict[bytes, list] = {}
     covered = np.zeros(len(lengths))
-    for _ in range(rounds):
-        weight = np.exp(log_weight - log_weight.max())
-        # a piece is worth its room too, so that configurations come out full
-        value = weight / weight.mean() * lengths / capacity
+    amounts: dict[bytes, list] = {}
+    bound = float(need @ lengths) / capacity
+    while len(lengths) and covered.min() < 1:
+        log_weight = -4.0 * np.minimum(covered, 1.0)
+        weight = np.where(covered < 1, np.exp(log_weight - log_weight.max()), 1e-6)
+        # a piece is worth its room, so that configurations come out full, and a long one a
+        # little more, as short ones still fit when little room is left
+        value = (lengths / capacity) ** 1.15 * weight
         copies = price(lengths, value, capacity)
+        bound = max(bound, float(need @ value) / float(copies @ value))
         used = copies > 0
-        step = rate * float((need[used] / copies[used]).min())
-        gain = step * copies / need
-        covered += gain
-        log_weight -= 2.0 * gain
+        open_ = used & (covered < 1)
+        # what is nearly covered is covered wholly, so that rounds come to an end
+        step = float((np.where(covered[open_] > 1 - rate, 1 - covered[open_], rate)
+                      * need[open_] / copies[open_]).min())
+        covered += step * copies / need
+        covered[covered > 1 - 1e-9] = np.maximum(covered[covered > 1 - 1e-9], 1.0)
         amounts.setdefault(copies.tobytes(), [copies, 0.0])[1] += step
-        if covered.min() >= 1:
-            break
-    return [(copies, amount) for copies, amount in amounts.values()]
+    return [(copies, amount) for copies, amount in amounts.values()], bound
 
 
 def _best_fit(lengths: np.ndarray, left: np.ndarray, capacity: int) -> Iterator[tuple]:
@@ -178,19 +195,34 @@ def _best_fit(lengths: np.ndarray, left: np.ndarray, capacity: int) -> Iterator[
         yield copies, times
 
 
-def configurations(lengths: np.ndarray, need: np.ndarray, capacity: int = CAPACITY,
-                   rounds: int = ROUNDS) -> list[tuple[np.ndarray, int]]:
-    """Whole numbers of configurations that hold exactly ``need`` pieces of each length."""
-    out, left = [], need.copy()
-    solution = _fractional(lengths, need, capacity, rounds) if len(lengths) else []
-    # full configurations first: what they leave is what best fit must finish
-    for copies, amount in sorted(solution, key=lambda c: (-int(c[0] @ lengths), -c[1])):
-        used = copies > 0
-        times = min(int(amount), int((left[used] // copies[used]).min()))
-        if times:
-            out.append((copies, times))
-            left -= times * copies
-    return out + list(_best_fit(lengths, left, capacity))
+def configurations(lengths: np.ndarray, need: np.ndarray, capacity: int = CAPACITY
+                   ) -> tuple[list[tuple[np.ndarray, int]], dict]:
+    """Whole numbers of configurations that hold exactly ``need`` pieces of each length.
+
+    The program's amounts are rounded up as far as pieces last. What is left is a smaller
+    histogram, for which the program is solved again while it places at least half of it; best
+    fit takes the rest. The second result says what the program placed and the bound.
+    """
+    out, left, bound, programs = [], need.copy(), 0.0, 0
+    while left.any():
+        some = np.flatnonzero(left)
+        solution, low = fractional(lengths[some], left[some], capacity)
+        bound, programs, before = max(bound, low), programs + 1, int(left.sum())
+        for copies, amount in sorted(solution, key=lambda c: (-int(c[0] @ lengths[some]), -c[1])):
+            used = copies > 0
+            times = min(math.ceil(amount - 1e-9),
+                        int((left[some][used] // copies[used]).min()))
+            if times:
+                whole = np.zeros(len(lengths), np.int64)
+                whole[some] = copies
+                out.append((whole, times))
+                left -= times * whole
+        if 2 * int(left.sum()) > before:
+            break
+    placed = int(need.sum() - left.sum())
+    out += list(_best_fit(lengths, left, capacity))
+    return out, {"bound": bound, "programs": programs, "placed": placed,
+                 "pieces": int(need.sum()), "sequences": sum(t for _, t in out)}
 
 
 def _slots(lengths: np.ndarray, plan: list[tuple[np.ndarray, int]]):
@@ -209,8 +241,7 @@ def _slots(lengths: np.ndarray, plan: list[tuple[np.ndarray, int]]):
     return [np.array(c, np.int64) for c in zip(*runs)] if runs else [np.empty(0, np.int64)] * 4
 
 
-def pack(parts: DataFrame, capacity: int = CAPACITY, rounds: int = ROUNDS,
-         rows_per_cell: int = 20_000) -> DataFrame:
+def pack(parts: DataFrame, capacity: int = CAPACITY, rows_per_cell: int = 20_000) -> DataFrame:
     """Add sequence_id and offset to pieces (doc_id, piece, length and any others but these).
 
     Every piece lies whole in one sequence, and the pieces of a sequence follow each other
@@ -228,7 +259,7 @@ def pack(parts: DataFrame, capacity: int = CAPACITY, rounds: int = ROUNDS,
     need = np.array([h[1] for h in histogram], np.int64)
     if len(lengths) and lengths[-1] > capacity:
         raise ValueError("a piece is longer than a sequence")
-    keys, first, offsets, copies = _slots(lengths, configurations(lengths, need, capacity, rounds))
+    keys, first, offsets, copies = _slots(lengths, configurations(lengths, need, capacity)[0])
     before = Window.partitionBy("length").orderBy("cell").rowsBetween(
         Window.unboundedPreceding, -1)
     starts = counts.select("length", "cell",
@@ -240,6 +271,7 @@ def pack(parts: DataFrame, capacity: int = CAPACITY, rounds: int = ROUNDS,
               .select(*parts.columns, "place"))
     at = ranked.columns.index("length")
 
+    @lean
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             size = batch.column(at).to_numpy()
@@ -257,8 +289,8 @@ def pack(parts: DataFrame, capacity: int = CAPACITY, rounds: int = ROUNDS,
 
 
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID,
-                   tokenizer: tuple[str, str, int | None] | None = None, rounds: int = ROUNDS,
+                   tokenizer: tuple[str, str, int | None] | None = None,
                    with_ids: bool = False) -> DataFrame:
     """Pieces of all documents with their places; the tokens are made once and staged."""
     parts = stage(pieces(docs, capacity, end_id, tokenizer, with_ids), "pieces")
-    return pack(parts, capacity, rounds)
+    return pack(parts, capacity)
