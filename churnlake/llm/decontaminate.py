@@ -16,6 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from churnlake.llm.tasks import lean
 from churnlake.llm.words import ALNUM, word_hashes
 from churnlake.session import stage
 
@@ -28,6 +29,7 @@ _INDEX = ("segment BIGINT, doc_ids BINARY, first BINARY, words BINARY, terms BIN
           "ends BINARY, positions BINARY")
 
 
+@lean
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Postings of runs of rows; texts lie one position apart, so no phrase spans two."""
     base, done = TaskContext.get().partitionId() << 32, 0
@@ -120,6 +122,7 @@ def _unpack(batch: pa.RecordBatch):
 def _term_counts(index: DataFrame, vocabulary: np.ndarray) -> dict[int, int]:
     """Corpus frequency of the benchmark's words, from the lengths of their lists."""
 
+    @lean
     def count(batches):
         total = np.zeros(len(vocabulary), np.int64)
         for batch in batches:
@@ -176,6 +179,7 @@ def search(index: DataFrame, windows: Windows, slop: int = 0) -> DataFrame:
     from where the phrase has it, around the exact place of the rarest word.
     """
 
+    @lean
     def find(batches):
         for batch in batches:
             for segment, first, words, terms, ends, positions in _unpack(batch):
@@ -203,6 +207,7 @@ def search(index: DataFrame, windows: Windows, slop: int = 0) -> DataFrame:
 
 
 def _index_rows(index: DataFrame, kind: str) -> DataFrame:
+    @lean
     def rows(batches):
         for batch in batches:
             for row in batch.to_pylist():

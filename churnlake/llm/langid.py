@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnlake.llm.sample import sample_texts
+from churnlake.llm.tasks import lean
 from churnlake.llm.words import word_spans
 
 HIDDEN = 16
@@ -258,7 +259,7 @@ def fit(labelled: DataFrame, rows: int = SAMPLE_ROWS, steps: int = STEPS) -> Net
 
 
 def identify(docs: DataFrame, net: Network | None, text_col: str = "text",
-             out_col: str = "language", batch_bytes: int = 8 << 20) -> DataFrame:
+             out_col: str = "language", batch_bytes: int = 2 << 20) -> DataFrame:
     """All columns of the input with a struct ``out_col`` of label and score.
 
     Null texts and texts without a letter get ``und`` and score 0, and so does everything
@@ -270,6 +271,7 @@ def identify(docs: DataFrame, net: Network | None, text_col: str = "text",
     made_type = T.StructType.fromDDL("label STRING, score DOUBLE")
     schema = T.StructType([*docs.select(*kept).schema, T.StructField(out_col, made_type)])
 
+    @lean
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(net) if net is not None else None
         for whole in batches:

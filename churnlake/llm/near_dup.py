@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from churnlake.llm.tasks import lean
 from churnlake.llm.words import SPACED, U, mix, shingle_hashes, word_hashes
 from churnlake.session import drop_staged, stage
 
@@ -27,6 +28,8 @@ PLACES = BANDS * ROWS
 #: Sets up to this size are compared by 16 bits a hash, larger ones by 22.
 _WIDE, _TABLE = 1024, 1 << 22
 _BLOCK = 256
+#: Elements whose permutations are held at once.
+_ELEMENTS = 1 << 15
 _OPEN = np.uint32(0xFFFFFFFF)
 _STEP = U(0x9E3779B97F4A7C15)
 
@@ -68,12 +71,29 @@ def signatures(values: np.ndarray, ends: np.ndarray, places: int = PLACES) -> np
     return out
 
 
+def in_pieces(values: np.ndarray, ends: np.ndarray, size: int | None = None) -> np.ndarray:
+    """``signatures``, of a large set as the least of its pieces' at every place.
+
+    A piece stops once its own places are filled; what it would still draw is larger than any
+    value kept, so the whole set's least values are among those of the pieces.
+    """
+    size = size or _ELEMENTS
+    if len(ends) != 1 or len(values) <= size:
+        return signatures(values, ends)
+    out = np.full((1, PLACES), _OPEN, np.uint32)
+    for a in range(0, len(values), size):
+        part = values[a:a + size]
+        np.minimum(out, signatures(part, np.array([len(part)])), out=out)
+    return out
+
+
 def _batches_of_sets(texts: pa.Array, words: int):
     """(first row, flat shingle hashes, ends) for runs of rows."""
     for row, hashes, ends in word_hashes(texts, SPACED):
         yield (row, *shingle_hashes(hashes, ends, words))
 
 
+@lean
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         n, digest, signature = [], [], []
@@ -83,10 +103,10 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             digest += [hashlib.blake2b(values[a:b].tobytes(), digest_size=16).digest()
                        for a, b in zip(starts, ends)]
             # a few sets at a time: each element holds its permutation while it is drawn
-            for lo, hi in _runs(ends, 1 << 15):
+            for lo, hi in _runs(ends, _ELEMENTS):
                 base = starts[lo]
                 signature += [s.tobytes() for s in
-                              signatures(values[base:ends[hi - 1]], ends[lo:hi] - base)]
+                              in_pieces(values[base:ends[hi - 1]], ends[lo:hi] - base)]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(np.concatenate(n) if n else np.empty(0, np.int64)),
              pa.array(digest, pa.binary()), pa.array(signature, pa.binary())],
@@ -108,6 +128,7 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                                       "digest BINARY, signature BINARY")
 
 
+@lean
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     with np.errstate(over="ignore"):
         for batch in batches:
@@ -128,6 +149,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(len(column), PLACES)
 
 
+@lean
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Full shingle sets, and the same cut to 16 bits a hash (32 in sets over ``_WIDE``)."""
     for batch in batches:

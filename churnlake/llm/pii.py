@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnlake.llm.sample import sample_texts
+from churnlake.llm.tasks import lean
 
 # Kinds in their order, and the base patterns.
 KINDS = ("email", "ip", "card", "phone")
@@ -41,6 +42,8 @@ SAMPLE_NODES = 200
 #: Weight of all fixed repeats of values in training, in samples.
 REPEATS_SHARE = 4
 SURE = 0.9
+#: Text whose graphs are solved together (or one longer text).
+BLOCK_BYTES = 1 << 20
 #: Messages have settled once none moves by more than this; damped messages that never settle
 #: (loops can make them swing) are taken as they are after this many rounds.
 SETTLED, ROUNDS = 1e-4, 2_000
@@ -428,6 +431,7 @@ def detect(docs: DataFrame, field: Field | None = None, text_col: str = "text",
     schema = T.StructType([*docs.select(*kept).schema,
                            T.StructField(out_col, T.StructType.fromDDL(made.replace(": ", ":")))])
 
+    @lean
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()),
                                    ("end", pa.int64())]))
@@ -437,7 +441,7 @@ def detect(docs: DataFrame, field: Field | None = None, text_col: str = "text",
                              for spans in all_spans], span)
 
         for whole in batches:
-            step = max(1, int(whole.num_rows * (8 << 20) / max(1, whole.nbytes)))
+            step = max(1, int(whole.num_rows * BLOCK_BYTES / max(1, whole.nbytes)))
             for start in range(0, whole.num_rows, step):
                 batch = whole.slice(start, step)
                 texts = batch.column(at).to_pylist()

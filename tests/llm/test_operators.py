@@ -132,16 +132,47 @@ def test_op2_probabilities_sum_to_one(spark):
         assert v == 24 and mass + unknown == pytest.approx(1.0, abs=1e-9)
 
 
-def test_op2_seats_keep_their_customers():
-    rng = np.random.default_rng(1)
-    customers = np.array([0, 1, 4, 9, 200])
-    seats = language_model.Seats.start(customers, 0.6, rng)
-    for _ in range(20):
-        seats.sweep(customers, np.full(5, 2.0), 0.6)
-    seats.fit_to(customers + 3, np.full(5, 2.0), 0.6)
-    assert (seats.customers() == customers + 3).all()
-    assert (np.bincount(seats.dish, seats.size, 5) == customers + 3).all()
-    assert (seats.tables() == np.bincount(seats.dish, minlength=5)).all()
+def seatings(c, d):
+    """Weights of 1..c tables by going through all seatings, customer by customer."""
+    found = {(1,): 1.0}
+    for _ in range(c - 1):
+        after = defaultdict(float)
+        for sizes, weight in found.items():
+            after[(*sizes, 1)] += weight
+            for k, size in enumerate(sizes):
+                after[(*sizes[:k], size + 1, *sizes[k + 1:])] += weight * (size - d)
+        found = after
+    out = np.zeros(c + 1)
+    for sizes, weight in found.items():
+        out[len(sizes)] += weight
+    return out[1:]
+
+
+def test_op2_tables_are_drawn_from_their_conditional():
+    rng, d, c, theta, p0 = np.random.default_rng(1), 0.6, 7, 2.5, 0.3
+    ways = seatings(c, d)
+    assert np.allclose(np.exp(language_model.log_seatings(9, d)[c, 1:c + 1]), ways)
+    want = ways * np.cumprod([(theta + d * j) * p0 for j in range(c)])
+    n = 40_000
+    got = language_model.TableDraws(d, rng).draw(np.full(n, c), np.full(n, theta), np.full(n, p0))
+    assert np.abs(np.bincount(got, minlength=c + 1)[1:] / n - want / want.sum()).max() < 0.01
+    few = language_model.TableDraws(d, rng).draw(np.array([0, 1, 2]), np.ones(3), np.full(3, 0.5))
+    assert few[:2].tolist() == [0, 1] and few[2] in (1, 2)
+
+
+def test_op2_large_dishes_forget_their_start():
+    """A hot dish seated at one table or by the formula ends up alike, and as the model expects."""
+    rng, d, n = np.random.default_rng(2), 0.6, 100
+    draws = language_model.TableDraws(d, rng)
+    means = [draws.draw(np.full(n, 100_000), np.full(n, 50.0), np.ones(n), np.full(n, old)).mean()
+             for old in (1, 499, 90_000)]
+    expected = 50 / d * (np.prod([(50 + d + i) / (50 + i) for i in range(100_000)]) - 1)
+    assert all(abs(m - expected) < 0.03 * expected for m in means)
+    exact, saddle = (language_model.TableDraws(d, rng, exact=e) for e in (128, 20))
+    for theta, p0 in ((5.0, 0.1), (500.0, 0.01), (2.0, 1.0)):
+        args = [np.full(20_000, x) for x in (120, theta, p0)]
+        a, b = exact.draw(*args), saddle.draw(*args, np.ones(20_000, int))
+        assert abs(a.mean() - b.mean()) < 0.03 * a.mean() + 0.02
 
 
 def test_op2_awkward_rows(spark, odd):
@@ -558,3 +589,37 @@ def test_pipeline_run(spark, documents):
            if r["contaminated"]}
     letterless = {i for i, t in documents.items() if not any(map(str.isalpha, t))}
     assert kept == {i for i in documents if components[i][1] == i} - hit - letterless
+
+
+def test_op7_program_covers_and_nears_the_bound():
+    rng = np.random.default_rng(1)
+    mixed = np.concatenate([np.full(26_000, 1024),
+                            np.clip(rng.lognormal(5.5, 0.9, 74_000), 5, 1023).astype(int)])
+    for pieces in (rng.integers(1, 1025, 200_000), mixed):
+        lengths, need = np.unique(pieces, return_counts=True)
+        solution, bound = packing.fractional(lengths, need, 1024)
+        assert (sum(amount * copies for copies, amount in solution) >= need * (1 - 1e-9)).all()
+        assert all(copies @ lengths <= 1024 for copies, _ in solution)
+        plan, facts = packing.configurations(lengths, need)
+        assert (sum(times * copies for copies, times in plan) == need).all()
+        assert facts["placed"] > 0.9 * facts["pieces"]
+        assert bound <= facts["sequences"] <= 1.01 * facts["bound"]
+
+
+def test_op7_price_is_the_best_filling():
+    rng = np.random.default_rng(2)
+    for _ in range(30):
+        lengths = np.unique(rng.integers(1, 25, 6))
+        values = rng.random(len(lengths))
+        best = np.zeros(41)
+        for room in range(1, 41):
+            best[room] = max([best[room - 1]] + [best[room - n] + v for n, v in zip(lengths, values)
+                                                 if n <= room])
+        copies = packing.price(lengths, values, 40)
+        assert copies @ lengths <= 40 and copies @ values == pytest.approx(best[40])
+
+
+def test_op3_signature_of_a_large_set_from_pieces():
+    values = np.unique(np.random.default_rng(4).integers(0, 2**63, 5000).astype(np.uint64))
+    whole = near_dup.signatures(values, np.array([len(values)]))
+    assert (near_dup.in_pieces(values, np.array([len(values)]), 700) == whole).all()
