@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlake import schema as S
+from churnlake.functions.exact import exact_avg, exact_sum, limb_sums, refolded
 from churnlake.functions.expressions import elapsed_days, ts
 from churnlake.operators import ranking as R
 from churnlake.operators.joins import lookup
@@ -63,19 +64,13 @@ def order_summary(orders: DataFrame) -> DataFrame:
     """Count, sum, mean and date range of each user's orders in one pass."""
     return orders.groupBy("user_id").agg(
         F.count("order_id").alias("order_count"),
-        money_sum(F.col("total_amount")).alias("total_spend"),
-        F.avg("total_amount").alias("avg_order_value"),
+        exact_sum(F.col("total_amount")).alias("total_spend"),
+        exact_avg(F.col("total_amount")).alias("avg_order_value"),
         F.min("order_date").alias("first_order_date"),
         F.max("order_date").alias("last_order_date"),
     )
 
 
-def money_sum(amount: Column) -> Column:
-    """A sum kept to a millionth, so that the order in which partial sums meet (and a
-    task that is run again) cannot change the value and with it a rank."""
-    return F.round(F.sum(amount), 6)
-
-
 def coupon_users(orders: DataFrame) -> DataFrame:
     return orders.groupBy("user_id").agg(
         F.bool_or(F.col("used_coupon_code").isNotNull()).alias("used_coupon")
@@ -102,7 +97,7 @@ def order_days(orders: DataFrame, refs: Sequence[datetime] = (),
             F.count("order_id").alias("n"),
             F.count("order_date").alias("n_dated"),
             F.count("total_amount").alias("n_priced"),
-            F.sum("total_amount").alias("amount"),
+            *limb_sums(F.col("total_amount"), "amount"),
             F.min("order_date").alias("first_at"),
             F.max("order_date").alias("last_at"),
             F.bool_or(F.col("used_coupon_code").isNotNull()).alias("any_coupon"),
@@ -131,10 +126,10 @@ def order_profile_columns(within: Column | None = None) -> dict[str, Column]:
 
     return {
         "order_count": F.coalesce(F.sum(only("n")), F.lit(0)),
-        "total_spend": money_sum(only("amount")),
+        "total_spend": refolded("amount", within),
         "first_order_date": F.min(only("first_at")),
         "last_order_date": F.max(only("last_at")),
-        "avg_order_value": F.try_divide(money_sum(only("amount")), F.sum(only("n_priced"))),
+        "avg_order_value": F.try_divide(refolded("amount", within), F.sum(only("n_priced"))),
         "avg_days_between_orders": F.try_divide(F.sum(only("gap_days")), F.sum(only("gaps"))),
         "used_coupon": F.coalesce(F.bool_or(only("any_coupon")), F.lit(False)),
     }

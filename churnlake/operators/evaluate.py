@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from churnlake import schema as S
 from churnlake.functions import expressions as E
+from churnlake.functions.exact import exact_avg
 from churnlake.operators import ranking as R
 from churnlake.session import small_frame
 
@@ -253,7 +254,7 @@ def average_precision(scores: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def brier(scores: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     gap = F.col("score") - F.col("label")
-    return scores.groupBy(*by).agg(F.avg(gap * gap).alias("brier"))
+    return scores.groupBy(*by).agg(exact_avg(gap * gap).alias("brier"))
 
 
 def reliability(scores: DataFrame, bins: int = 10, by: Sequence[str] = ()) -> DataFrame:
@@ -268,18 +269,17 @@ def reliability(scores: DataFrame, bins: int = 10, by: Sequence[str] = ()) -> Da
     rows = place.transform(scores.where(F.col("score").isNotNull())).withColumn(
         "bin", F.col("bin").cast("int") - 1
     )
-    inside = F.col("bin").between(0, bins - 1)
-    # An array of all bins per group keeps the empty ones without a join.
-    per_bin = rows.groupBy(*by).agg(F.array(*[
-        F.struct(
-            F.lit(b).alias("bin"),
-            F.avg(F.when(inside & (F.col("bin") == b), F.col("score"))).alias("mean_score"),
-            F.avg(F.when(inside & (F.col("bin") == b), F.col("label"))).alias("positive_share"),
-            F.count_if(inside & (F.col("bin") == b)).alias("n"),
-        )
-        for b in range(bins)
-    ]).alias("bins"))
-    return per_bin.select(*by, F.inline("bins"))
+    per_bin = rows.groupBy(*by, "bin").agg(F.struct(
+        exact_avg(F.col("score")).alias("mean_score"), F.avg("label").alias("positive_share"),
+        F.count(F.lit(1)).alias("n")).alias("found"))
+    # A map of a group's bins (those outside as well) keeps the empty ones without a join.
+    held = per_bin.groupBy(*by).agg(
+        F.map_from_entries(F.collect_list(F.struct("bin", "found"))).alias("bins"))
+    every = held.select(*by, "bins", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    found = F.try_element_at("bins", "bin")
+    return every.select(*by, "bin", found["mean_score"].alias("mean_score"),
+                        found["positive_share"].alias("positive_share"),
+                        F.coalesce(found["n"], F.lit(0).cast("bigint")).alias("n"))
 
 
 def segment_metrics(scored_rows: DataFrame, age: str = "age", gender_flag: str = "gender_bin",

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnlake import schema as S
+from churnlake.functions.exact import exact_avg
 from churnlake.functions.expressions import col
 from churnlake.operators import order_stats as O
 from churnlake.operators.mlprep import centre_and_scale
@@ -26,14 +27,24 @@ def levels_frame(df: DataFrame, labels: Sequence[str], name: str) -> DataFrame:
 
 def _per_column(df: DataFrame, columns: Sequence[str], stats: dict[str, object],
                 by: Sequence[str] = ()) -> DataFrame:
-    """One pass over the rows, one result row per column; stats map a name to fn(column)."""
+    """One pass over the rows, one result row per column; stats map a name to fn(column).
+
+    None stands for the mean.
+    """
     rows = F.array(*[
-        F.struct(F.lit(c).alias("variable"), *[fn(col(c)).alias(n) for n, fn in stats.items()])
+        F.struct(F.lit(c).alias("variable"), *[
+            (fn(col(c)) if fn else mean_of(df, c)).alias(n) for n, fn in stats.items()])
         for c in columns
     ])
     return df.groupBy(*by).agg(rows.alias("rows")).select(*by, F.inline("rows"))
 
 
+def mean_of(df: DataFrame, column: str) -> Column:
+    """The mean as an aggregate: of whole numbers plain, of all others by exact sums."""
+    whole = df.schema[column].dataType.typeName() in ("byte", "short", "integer", "long")
+    return F.avg(col(column)) if whole else exact_avg(col(column))
+
+
 def table_shapes(tables: ShopTables) -> DataFrame:
     """Row and column count of every table that is present."""
     parts = [
@@ -69,7 +80,7 @@ def rfm_profile(df: DataFrame) -> DataFrame:
     """Means, churn rate and size of each RFM bucket, empty buckets included."""
     means = df.groupBy("RFM_bucket").agg(
         F.avg("order_count").alias("order_count_mean"),
-        F.avg("total_spend").alias("total_spend_mean"),
+        exact_avg(F.col("total_spend")).alias("total_spend_mean"),
         F.avg("login_count").alias("login_count_mean"),
         F.avg("recency_days").alias("recency_days_mean"),
         F.avg("churn").alias("churn_rate"),
@@ -83,8 +94,7 @@ def rfm_profile(df: DataFrame) -> DataFrame:
 def describe(df: DataFrame, columns: Sequence[str], accurate: bool = True) -> DataFrame:
     """Count, mean, sample deviation, extremes and quartiles of each column."""
     moments = _per_column(df, columns, {
-        "count": F.count,
-        "mean": F.avg,
+        "count": F.count, "mean": None,
         "std": lambda c: F.stddev_samp(c.cast("double")),
         "min": lambda c: F.min(c).cast("double"),
         "max": lambda c: F.max(c).cast("double"),
@@ -197,7 +207,7 @@ def crosstab(df: DataFrame, columns: Sequence[str], target: str = "churn") -> Da
 
 def class_centres(df: DataFrame, columns: Sequence[str], target: str = "churn") -> DataFrame:
     """Mean and median of each column by class."""
-    means = _per_column(df, columns, {"n": F.count, "mean": F.avg}, [target])
+    means = _per_column(df, columns, {"n": F.count, "mean": None}, [target])
     mid = O.quantile_columns(df, columns, {"median": 0.5}, by=target).withColumnRenamed(
         "grp", target
     )
@@ -235,7 +245,7 @@ def cluster_summary(df: DataFrame, cluster: str, features: Sequence[str],
                     target: str = "churn") -> DataFrame:
     """Means and medians of the features, target rate and size of each cluster."""
     means = df.groupBy(cluster).agg(
-        *[F.avg(c).alias(f"{c}_mean") for c in features],
+        *[mean_of(df, c).alias(f"{c}_mean") for c in features],
         F.avg(target).alias(f"{target}_rate"), F.count(F.lit(1)).alias("size"),
     )
     mid = O.quantiles(df, features, [0.5], by=cluster).groupBy(
@@ -247,7 +257,7 @@ def cluster_summary(df: DataFrame, cluster: str, features: Sequence[str],
 
 def cluster_z(df: DataFrame, cluster: str, features: Sequence[str]) -> DataFrame:
     """Cluster means as z-scores over the clusters (population deviation, 0 -> 1)."""
-    means = df.groupBy(cluster).agg(*[F.avg(c).alias(c) for c in features])
+    means = df.groupBy(cluster).agg(*[mean_of(df, c).alias(c) for c in features])
     found = centre_and_scale(means, features)
 
     def z(c: str) -> Column:

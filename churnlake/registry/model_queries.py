@@ -19,7 +19,7 @@ from churnlake.operators.features import user_features
 from churnlake.registry import star_tables as T
 from churnlake.registry.base import query, r6, rounded
 from churnlake.registry.profile_queries import SEGMENT, SPLIT_SQL, assigned, training_rows
-from churnlake.registry.sql import CTES, NUMERIC
+from churnlake.registry.sql import CTES, NUMERIC, exact_avg
 from churnlake.registry.star_tables import EVENT_HORIZON_DAYS, HORIZON_DAYS
 from churnlake.session import keep, stage
 
@@ -519,24 +519,23 @@ def e11_average_precision(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(table, ["average_precision"], 8)
 
 
-@query("e12_brier", """
-SELECT model, round(avg((score - label) * (score - label)), 8) AS brier FROM scores
+@query("e12_brier", f"""
+SELECT model, {exact_avg('(score - label) * (score - label)')} AS brier FROM scores
 GROUP BY model""")
 def e12_brier(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(V.brier(T.model_scores(spark, folder), MODEL), ["brier"], 8)
+    return V.brier(T.model_scores(spark, folder), MODEL)
 
 
-@query("e13_reliability", """
-SELECT model, CAST(bin AS INT) AS bin, round(avg(score), 6) AS mean_score,
-       round(avg(label), 6) AS positive_share, count(score) AS n
+@query("e13_reliability", f"""
+SELECT model, CAST(bin AS INT) AS bin, {exact_avg('score')} AS mean_score,
+       avg(label) AS positive_share, count(score) AS n
 FROM (SELECT DISTINCT model FROM scores) CROSS JOIN (SELECT unnest(range(10)) AS bin)
 LEFT JOIN (SELECT model, score, label, bin FROM scores
            JOIN (SELECT unnest(range(10)) AS bin)
              ON score >= bin * 0.1::DOUBLE AND score < (bin + 1) * 0.1::DOUBLE)
   USING (model, bin) GROUP BY model, bin""")
 def e13_reliability(spark: SparkSession, folder: str) -> DataFrame:
-    table = V.reliability(T.model_scores(spark, folder), 10, MODEL)
-    return rounded(table, ["mean_score", "positive_share"])
+    return V.reliability(T.model_scores(spark, folder), 10, MODEL)
 
 
 CTES["cohort_scores"] = """
@@ -569,13 +568,13 @@ def e14_segment_metrics(spark: SparkSession, folder: str) -> DataFrame:
 @query("e15_model_comparison", f"""
 SELECT model, round(roc_auc, 6) AS roc_auc,
        {_metrics(('accuracy', 'f1', 'tpr', 'tnr', 'pred_rate', 'actual_rate'))},
-       round(brier, 6) AS brier
+       brier
 FROM half_metrics JOIN auc_by_model USING (model)
-JOIN (SELECT model, avg((score - label) * (score - label)) AS brier FROM scores GROUP BY model)
+JOIN (SELECT model, {exact_avg('(score - label) * (score - label)')} AS brier FROM scores GROUP BY model)
   USING (model)""")
 def e15_model_comparison(spark: SparkSession, folder: str) -> DataFrame:
     table = V.compare_models(T.model_scores(spark, folder))
-    columns = ["roc_auc", "accuracy", "f1", "tpr", "tnr", "pred_rate", "actual_rate", "brier"]
+    columns = ["roc_auc", "accuracy", "f1", "tpr", "tnr", "pred_rate", "actual_rate"]
     return rounded(table, columns).orderBy(F.col("roc_auc").desc(), "model")
 
 

@@ -18,7 +18,7 @@ from churnlake.operators import segment as G
 from churnlake.operators import snapshot as N
 from churnlake.registry import star_tables as T
 from churnlake.registry.base import b, longs, query, r6, rounded
-from churnlake.registry.sql import CENTRES, CTES, NUMERIC
+from churnlake.registry.sql import CENTRES, CTES, NUMERIC, exact_avg, exact_sum
 from churnlake.registry.star_tables import HORIZON_DAYS as H
 from churnlake.session import keep
 
@@ -39,20 +39,18 @@ def a2_last_purchase(spark: SparkSession, folder: str) -> DataFrame:
     return A.last_purchase(T.shop(spark, folder).orders)
 
 
-@query("a3_order_summary", """
-SELECT user_id, count(order_id) AS order_count, round(sum(total_amount), 4) AS total_spend,
+@query("a3_order_summary", f"""
+SELECT user_id, count(order_id) AS order_count, {exact_sum('total_amount')} AS total_spend,
        min(order_date) AS first_order_date, max(order_date) AS last_order_date
 FROM s_orders GROUP BY user_id""")
 def a3_order_summary(spark: SparkSession, folder: str) -> DataFrame:
-    rows = A.order_summary(T.shop(spark, folder).orders).drop("avg_order_value")
-    return rounded(rows, ["total_spend"], 4)
+    return A.order_summary(T.shop(spark, folder).orders).drop("avg_order_value")
 
 
 @query("a4_average_order_value", """
-SELECT user_id, round(avg_order_value, 6) AS avg_order_value FROM s_profile""")
+SELECT user_id, avg_order_value FROM s_profile""")
 def a4_average_order_value(spark: SparkSession, folder: str) -> DataFrame:
-    rows = A.order_profile(T.shop(spark, folder).orders)
-    return rounded(rows.select("user_id", "avg_order_value"), ["avg_order_value"])
+    return A.order_profile(T.shop(spark, folder).orders).select("user_id", "avg_order_value")
 
 
 @query("a5_activity_counts", """
@@ -128,14 +126,13 @@ def a10_rate_by_rfm_bucket(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(rates, ["churn_rate"])
 
 
-PROFILE_MEANS = ["order_count_mean", "total_spend_mean", "login_count_mean", "recency_days_mean",
-                 "churn_rate"]
+PROFILE_MEANS = ["order_count_mean", "login_count_mean", "recency_days_mean", "churn_rate"]
 
 
 @query("a11_rfm_profile", f"""
 SELECT d.RFM_bucket, CAST(position AS INT) AS position, count(churn) AS n,
        round(avg(order_count), 4) AS order_count_mean,
-       round(avg(total_spend), 4) AS total_spend_mean,
+       {exact_avg('total_spend')} AS total_spend_mean,
        round(avg(login_count), 4) AS login_count_mean,
        round(avg(recency_days), 4) AS recency_days_mean, round(avg(churn), 4) AS churn_rate
 FROM (VALUES {', '.join(f"('{v}', {i})" for i, v in enumerate(S.RFM_LABELS))})
@@ -151,15 +148,15 @@ def a12_overall_rate(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(X.overall_rate(T.shop_features(spark, folder)), ["churn_rate"])
 
 
-@query("a13_describe", """
-SELECT variable, count(value) AS count, round(avg(value), 4) AS mean,
+@query("a13_describe", f"""
+SELECT variable, count(value) AS count, {exact_avg('value')} AS mean,
        round(stddev_samp(value), 4) AS std, round(min(value), 4) AS min,
        round(max(value), 4) AS max, round(quantile_cont(value, 0.25), 4) AS q1,
        round(quantile_cont(value, 0.5), 4) AS median, round(quantile_cont(value, 0.75), 4) AS q3
 FROM long_numeric GROUP BY variable""")
 def a13_describe(spark: SparkSession, folder: str) -> DataFrame:
     table = X.describe(T.scored_features(spark, folder), list(NUMERIC))
-    return rounded(table, ["mean", "std", "min", "max", "q1", "median", "q3"], 4)
+    return rounded(table, ["std", "min", "max", "q1", "median", "q3"], 4)
 
 
 @query("a14_missing", """
@@ -210,13 +207,13 @@ def a17_crosstab(spark: SparkSession, folder: str) -> DataFrame:
     return X.crosstab(T.shop_features(spark, folder), S.CATEGORICAL_PROFILE)
 
 
-@query("a18_class_centres", """
-SELECT variable, CAST(churn AS INT) AS churn, count(value) AS n, round(avg(value), 4) AS mean,
+@query("a18_class_centres", f"""
+SELECT variable, CAST(churn AS INT) AS churn, count(value) AS n, {exact_avg('value')} AS mean,
        round(median(value), 4) AS median
 FROM long_numeric GROUP BY variable, churn""")
 def a18_class_centres(spark: SparkSession, folder: str) -> DataFrame:
     table = X.class_centres(T.scored_features(spark, folder), list(NUMERIC))
-    return rounded(table, ["mean", "median"], 4)
+    return rounded(table, ["median"], 4)
 
 
 @query("a19_cohort_summary", f"""
@@ -247,18 +244,17 @@ def assigned(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("a20_cluster_summary", f"""
 SELECT CAST(cluster AS INT) AS cluster, count(*) AS size, round(avg(churn), 4) AS churn_rate,
-       {', '.join(f'round(avg({c}), 4) AS {c}_mean' for c in SEGMENT)},
+       {', '.join(f'{exact_avg(c)} AS {c}_mean' for c in SEGMENT)},
        {', '.join(f'round(median({c}), 4) AS {c}_median' for c in SEGMENT)}
 FROM seg_assigned GROUP BY cluster""")
 def a20_cluster_summary(spark: SparkSession, folder: str) -> DataFrame:
     table = X.cluster_summary(keep(assigned(spark, folder)), "cluster", SEGMENT)
-    means = [f"{c}_{m}" for c in SEGMENT for m in ("mean", "median")]
-    return rounded(table, [*means, "churn_rate"], 4)
+    return rounded(table, [*[f"{c}_median" for c in SEGMENT], "churn_rate"], 4)
 
 
 @query("a21_cluster_z", f"""
 SELECT cluster, {', '.join(f'round(({c} - avg({c}) OVER ()) / coalesce(nullif(stddev_pop({c}) OVER (), 0), 1), 6) AS {c}' for c in SEGMENT)}
-FROM (SELECT CAST(cluster AS INT) AS cluster, {', '.join(f'avg({c}) AS {c}' for c in SEGMENT)}
+FROM (SELECT CAST(cluster AS INT) AS cluster, {', '.join(f'{exact_avg(c)} AS {c}' for c in SEGMENT)}
       FROM seg_assigned GROUP BY 1)""")
 def a21_cluster_z(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(X.cluster_z(assigned(spark, folder), "cluster", SEGMENT), SEGMENT)
@@ -563,7 +559,7 @@ FROM (SELECT u.*, coalesce(order_count, 0) AS order_count, n_coupon, avg_days_be
              CASE WHEN f.user_id IS NULL THEN 1 ELSE 0 END AS churn
       FROM {p}_users u
       LEFT JOIN (SELECT user_id, count(*) AS order_count, count(used_coupon_code) AS n_coupon,
-                        round(sum(total_amount), 6) AS total_spend, max(order_date) AS last_at,
+                        {exact_sum('total_amount')} AS total_spend, max(order_date) AS last_at,
                         CAST(sum(gap) AS DOUBLE) / count(gap) AS avg_days_between_orders,
                         count(*) FILTER (order_date > {ref} - INTERVAL 30 DAY) AS n30,
                         count(*) FILTER (order_date > {ref} - INTERVAL 90 DAY) AS n90

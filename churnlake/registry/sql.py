@@ -25,6 +25,19 @@ def sql(main: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS (\n{CTES[n]}\n)" for n in needed) + "\n" + main
 
 
+def exact_sum(value: str) -> str:
+    """SQL of a sum of doubles, added as integers of 2**-64 and rounded to a double once.
+
+    A whole number's text is read as the nearest double, which a cast does not promise.
+    """
+    unit = "18446744073709551616.0::DOUBLE"
+    return f"(CAST(CAST(sum(CAST({value} * {unit} AS HUGEINT)) AS VARCHAR) AS DOUBLE) / {unit})"
+
+
+def exact_avg(value: str) -> str:
+    return f"({exact_sum(value)} / nullif(count({value}), 0))"
+
+
 def _users(created: str) -> str:
     return f"""
 SELECT c_custkey AS user_id,
@@ -102,8 +115,8 @@ SELECT max(m) AS ref, max(m) - INTERVAL {horizon} DAY AS threshold FROM (
 
 def _order_profile(p: str, where: str = "TRUE") -> str:
     return f"""
-SELECT user_id, count(*) AS order_count, round(sum(total_amount), 6) AS total_spend,
-       round(sum(total_amount), 6) / count(*) AS avg_order_value,
+SELECT user_id, count(*) AS order_count, {exact_sum('total_amount')} AS total_spend,
+       {exact_sum('total_amount')} / count(*) AS avg_order_value,
        min(order_date) AS first_order_date, max(order_date) AS last_purchase_date,
        CAST(sum(gap) AS DOUBLE) / count(gap) AS avg_days_between_orders,
        bool_or(used_coupon_code IS NOT NULL) AS used_coupon,
@@ -197,9 +210,9 @@ SELECT u.user_id, birthdate, created_at, gender, coalesce(order_count, 0) AS ord
        {ref} AS snapshot_ref_date, year({ref}) - year(birthdate) AS age,
        CASE WHEN f.user_id IS NULL THEN 1 ELSE 0 END AS churn_90d
 FROM {p}_users u
-LEFT JOIN (SELECT user_id, count(*) AS order_count, round(sum(total_amount), 6) AS total_spend,
+LEFT JOIN (SELECT user_id, count(*) AS order_count, {exact_sum('total_amount')} AS total_spend,
                   max(order_date) AS last_order,
-                  round(sum(total_amount), 6) / count(*) AS avg_order_value,
+                  {exact_sum('total_amount')} / count(*) AS avg_order_value,
                   CAST(sum(gap) AS DOUBLE) / count(gap) AS avg_days_between_orders
            FROM (SELECT *, datesub('day', lag(order_date) OVER (
                    PARTITION BY user_id ORDER BY order_date, order_id), order_date) AS gap

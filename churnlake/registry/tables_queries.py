@@ -190,7 +190,7 @@ def p1_projection(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("p2_null_fill", f"""
 SELECT user_id, coalesce(order_count, 0) AS order_count,
-       round(coalesce(total_spend, 0.0), 6) AS total_spend,
+       coalesce(total_spend, 0.0) AS total_spend,
        round(avg_days_between_orders, 6) AS avg_days_between_orders,
        coalesce(login_count, 0) AS login_count, coalesce(used_coupon, FALSE) AS used_coupon
 FROM s_users LEFT JOIN s_profile USING (user_id)
@@ -198,7 +198,7 @@ LEFT JOIN (SELECT user_id, count(*) AS login_count FROM s_logins GROUP BY user_i
   USING (user_id)""")
 def p2_null_fill(spark: SparkSession, folder: str) -> DataFrame:
     filled = wide_assembly(T.shop(spark, folder)).na.fill(ZERO_FILL)
-    return rounded(filled, ["total_spend", "avg_days_between_orders"]).select(
+    return rounded(filled, ["avg_days_between_orders"]).select(
         "user_id", "order_count", "total_spend", "avg_days_between_orders", "login_count",
         "used_coupon",
     )
