@@ -19,7 +19,7 @@ from churnlake.plans import jobs
 from churnlake.registry import star_tables as T
 from tests.conftest import TESTDATA
 
-SMALL = {"logistic": L.Logistic(max_iter=50), "rf": L.Forest(5, 5, 2), "gbt": L.Boosting(3, 3)}
+SMALL = {"logistic": L.Logistic(max_iter=50), "rf": L.Forest(5, 2), "gbt": L.Boosting(3, 3)}
 
 
 @pytest.fixture(scope="module")

@@ -129,7 +129,7 @@ def test_models_rank_better_than_chance_and_report_importance(churners):
 
     prepared, design = L.prepare(churners, "user_id", "churn", ["p", "q", "r"], ["gender"])
     fitted = L.fit_models(
-        prepared, design, {"rf": L.Forest(15, 6), "gbt": L.Boosting(8, 3, 0.2)}, "user_id",
+        prepared, design, {"rf": L.Forest(15), "gbt": L.Boosting(8, 3, 0.2)}, "user_id",
         carry=["age", "q"],
     )
     assert {r["model"]: r["roc_auc"] > 0.75 for r in V.auc(fitted.scores, ["model"]).collect()} \
@@ -273,7 +273,8 @@ def test_registered_ensembles_have_the_published_sizes(monkeypatch):
         pass
 
     def stop(prepared, design, specs, *args, **kwargs):
-        raise Fits({n: (s.trees, s.depth) for n, s in specs.items() if hasattr(s, "trees")})
+        raise Fits({n: (s.trees, getattr(s, "depth", s.__dict__.get("min_leaf")))
+                    for n, s in specs.items() if hasattr(s, "trees")})
 
     monkeypatch.setattr(Q.L, "fit_models", stop)
     for owner, name in ((Q.T, "shop_features"), (Q, "training_rows"), (Q.C, "model_input"),
@@ -281,7 +282,7 @@ def test_registered_ensembles_have_the_published_sizes(monkeypatch):
         monkeypatch.setattr(owner, name, lambda *args: None)
     for name in ("driver_design", "training_design"):
         monkeypatch.setattr(Q.L, name, lambda *args: (None, None))
-    forest, driver, training = {"rf": (500, 30)}, {"gbt": (600, 5)}, {"rf": (500, 30), "gbt": (800, 5)}
+    forest, driver, training = {"rf": (500, 1)}, {"gbt": (600, 5)}, {"rf": (500, 2), "gbt": (800, 5)}
     for name, sizes in (("l3_forest_scores", forest), ("l4_boosting_scores", driver),
                         ("l5_feature_importance", forest), ("l12_multi_model", training)):
         with pytest.raises(Fits) as got:
