@@ -59,3 +59,21 @@ def incomplete_beta(x: float, a: float, b: float) -> float:
 
 def _away_from_zero(v: float) -> float:
     return v if abs(v) > _TINY else _TINY
+
+
+def mann_whitney_exact(u: int, n1: int, n2: int) -> float:
+    """Two-sided p-value of U without ties: the share of all orders at least as far out.
+
+    The numbers of orders with each U are the coefficients of the product of
+    (1 - q^(large + i)) / (1 - q^i) for i up to the smaller class's rows; whole numbers
+    throughout, in time that grows with n1 n2 times the smaller class.
+    """
+    small, large = sorted((n1, n2))
+    ways = [1] + [0] * (small * large)
+    for i in range(1, small + 1):
+        for v in range(len(ways) - 1, large + i - 1, -1):
+            ways[v] -= ways[v - large - i]
+        for v in range(i, len(ways)):
+            ways[v] += ways[v - i]
+    tail = sum(ways[max(u, n1 * n2 - u):])
+    return min(1.0, 2 * tail / sum(ways))

@@ -18,6 +18,9 @@ from churnlake.operators import order_stats as O
 from churnlake.operators import ranking as R
 from churnlake.session import small_frame
 
+#: Rows of the smaller class up to which the rank test counts all orders.
+EXACT_ROWS = 8
+
 
 def chi_square_statistics(df: DataFrame, columns: Sequence[str],
                           target: str = "churn") -> DataFrame:
@@ -128,11 +131,16 @@ def mann_whitney_statistics(df: DataFrame, columns: Sequence[str],
         F.try_divide(larger - mean - 0.5, deviation).alias("z"),
         F.col("n1").cast("bigint").alias("n_active"),
         F.col("n2").cast("bigint").alias("n_churned"),
+        (F.col("tie_term") > 0).alias("tied"),
     )
 
 
 def mann_whitney(df: DataFrame, columns: Sequence[str], target: str = "churn") -> DataFrame:
-    """The test with its two-sided p-value and the class medians."""
+    """The test with its two-sided p-value and the class medians.
+
+    The p-value is exact where a class has at most ``EXACT_ROWS`` rows and no values are tied,
+    and that of the normal approximation elsewhere.
+    """
     rows = mann_whitney_statistics(df, columns, target).collect()
     mid = {
         (r["grp"], r["variable"]): r["quantile"]
@@ -140,10 +148,13 @@ def mann_whitney(df: DataFrame, columns: Sequence[str], target: str = "churn") -
     }
 
     def p(r) -> float | None:
+        if not r["tied"] and min(r["n_active"], r["n_churned"]) <= EXACT_ROWS:
+            return P.mann_whitney_exact(round(r["u"]), r["n_active"], r["n_churned"])
         return None if r["z"] is None else min(1.0, P.normal_two_sided(max(r["z"], 0.0)))
 
     return small_frame(
-        df.sparkSession, [(*r, p(r), mid.get((0, r["variable"])), mid.get((1, r["variable"]))) for r in rows],
+        df.sparkSession, [(*r[:-1], p(r), mid.get((0, r["variable"])), mid.get((1, r["variable"])))
+                          for r in rows],
         "variable STRING, u DOUBLE, z DOUBLE, n_active BIGINT, n_churned BIGINT, "
         "p_value DOUBLE, median_active DOUBLE, median_churned DOUBLE",
     )

@@ -135,3 +135,22 @@ def test_value_counts_show_missing_as_nan(spark):
     assert {(r["level"], r["n"]) for r in X.value_counts(df, ["g"]).collect()} == {
         ("a", 1), ("nan", 2)
     }
+
+
+def test_exact_rank_test_counts_all_orders(spark):
+    from itertools import combinations
+
+    from churnlake.functions.pvalues import mann_whitney_exact
+    from churnlake.operators.hypothesis import mann_whitney
+
+    for n1, n2 in ((1, 1), (2, 3), (5, 4), (1, 6), (6, 6)):
+        us = [sum(x - i for i, x in enumerate(c)) for c in combinations(range(n1 + n2), n1)]
+        for u in range(n1 * n2 + 1):
+            out = sum(x >= max(u, n1 * n2 - u) for x in us)
+            assert abs(mann_whitney_exact(u, n1, n2) - min(1.0, 2 * out / len(us))) < 1e-12
+    rows = [(0, 1.0, 1.0), (0, 2.0, 2.0), (0, 7.0, 7.0), (1, 3.0, 2.0), (1, 4.0, 4.0),
+            (1, 5.0, 5.0), (1, 6.0, 6.0), (1, 8.0, 8.0)]
+    frame = spark.createDataFrame(rows, "churn INT, x DOUBLE, tied DOUBLE")
+    got = {r["variable"]: r for r in mann_whitney(frame, ["x", "tied"]).collect()}
+    assert got["x"]["u"] == 4.0 and abs(got["x"]["p_value"] - 22 / 56) < 1e-12
+    assert abs(got["tied"]["p_value"] - 22 / 56) > 1e-3          # ties: the normal law
