@@ -8,10 +8,13 @@ the two documents are. Built-in functions only.
 from __future__ import annotations
 
 import math
+import os.path
+from collections import Counter
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Share of all shingle hashes that a sketch keeps.
 FRACTION = 0.25
@@ -68,28 +71,65 @@ def merge(sketches: DataFrame, keys: list[str], kept: str = "sketch") -> DataFra
             .groupBy(*keys).agg(F.sort_array(F.collect_list("h")).alias(kept)))
 
 
+def _place(docs: DataFrame) -> Column:
+    """A number that never falls as ``doc_id`` rises: a numeric id itself, of any other the
+    seven bytes after what the smallest and the largest id have in common."""
+    if isinstance(docs.schema["doc_id"].dataType, T.NumericType):
+        return F.col("doc_id")
+    text = F.col("doc_id").cast("string")
+    ends = [(e or "").encode() for e in docs.agg(F.min(text), F.max(text)).first()]
+    shared = len(os.path.commonprefix(ends))
+    after = F.hex(F.substring(text.cast("binary"), shared + 1, 7))
+    return F.conv(F.rpad(after, 14, "0"), 16, 10).cast("bigint")
+
+
 def with_next(docs: DataFrame, payload: str, rows_per_cell: int = 512) -> DataFrame:
     """Add ``next``, the payload (not null) of the row with the next ``doc_id`` in order.
 
     The last row gets the first one's; rows with one id follow by the hash ``tie``. The order
     is cut into cells by id (quantiles, then even steps between them), neighbours meet by a
-    window inside a cell, and only the first row of each cell goes to the cell before it.
+    window inside a cell, and only the first row of each cell goes to the cell before it. Rows
+    without an id, and those of an id that spans several quantiles, are cut by ``tie`` instead,
+    into as many cells as their number asks for; only rows equal in id and text stay together.
+    Ids may be numbers or texts (byte order); texts that differ only beyond seven bytes after
+    their common start share a cell.
     """
     share = [i / _COARSE for i in range(1, _COARSE)]
-    stats = docs.agg(F.percentile_approx("doc_id", share, 10_000), F.count("*"),
-                     F.min("doc_id"), F.max("doc_id")).first()
-    bounds = sorted(set(stats[0] or []))
+    docs = docs.withColumn("place", _place(docs))
+    stats = docs.agg(F.percentile_approx("place", share, 10_000), F.count("*"),
+                     F.min("place"), F.max("place"), F.count("place")).first()
+    spans = Counter(stats[0] or [])
+    bounds = sorted(spans)
+    repeated = [b for b in bounds if spans[b] > 1]
+    # places of texts may stand for several ids, whose order is not that of the ties
+    one = {r[0] for r in docs.filter(F.col("place").isin(repeated)).groupBy("place").agg(
+        F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a = b").collect()
+           } if repeated else set()
     edges = [stats[2] or 0, *bounds, stats[3] or 0]
     steps = math.ceil(max(1, stats[1]) / _COARSE / rows_per_cell)
     lows = F.array(*[F.lit(float(e)) for e in edges])
     widths = F.array(*[F.lit(max(1.0, (b - a) / steps)) for a, b in zip(edges, edges[1:])])
-    coarse = (F.size(F.filter(F.array(*[F.lit(b) for b in bounds]),
-                              lambda b: b <= F.col("doc_id"))) if bounds else F.lit(0))
-    coarse = F.when(F.col("doc_id").isNotNull(), coarse)
+    at = (F.size(F.filter(F.array(*[F.lit(b) for b in bounds]),
+                          lambda b: b <= F.col("place"))) if bounds else F.lit(0))
+    even = F.floor((F.col("place").cast("double") - F.get(lows, F.col("at")))
+                   / F.get(widths, F.col("at")))
+    # parts of an id that are cut by the tie; a bound's own rows come first among those above it
+    parts = F.when(F.col("place").isNull(), F.lit(max(1, round(
+        _COARSE * (1 - stats[4] / max(1, stats[1]))))))
+    if one:
+        parts = parts.when(F.col("place") == F.get(F.array(*[F.lit(b) for b in bounds]),
+                                                   F.col("at") - 1),
+                           F.get(F.array(*[F.lit(spans[b] if b in one else None).cast("int")
+                                           for b in bounds]), F.col("at") - 1))
+    along = (F.col("tie").cast("double") / 2.0 ** 64 + 0.5) * F.col("parts")
+    top = F.when(F.col("place").isNull(), F.lit(-1)).otherwise(
+        2 * F.col("at") - F.when(F.col("parts").isNull(), 0).otherwise(1))
     # not nullable, so that the join below adds no filter and all branches share one exchange
-    celled = docs.withColumn("coarse", F.coalesce(coarse, F.lit(-1))).withColumn(
-        "fine", F.coalesce(F.floor((F.col("doc_id").cast("double") - F.get(lows, F.col("coarse")))
-                                   / F.get(widths, F.col("coarse"))), F.lit(0).cast("bigint")))
+    celled = docs.withColumn("at", at).withColumn("parts", parts).withColumns({
+        "coarse": F.coalesce(top.cast("bigint") * 4 * _COARSE + F.coalesce(
+            F.floor(along), F.lit(0)), F.lit(-1)),
+        "fine": F.coalesce(F.floor(along * steps), even, F.lit(0).cast("bigint")),
+    }).drop("place", "at", "parts")
     order = Window.partitionBy("coarse", "fine").orderBy("doc_id", "tie")
     rows = celled.withColumns({"next": F.lead(payload).over(order),
                                "head": F.lag(F.lit(1)).over(order).isNull()})
@@ -97,7 +137,7 @@ def with_next(docs: DataFrame, payload: str, rows_per_cell: int = 512) -> DataFr
     heads = rows.filter("head").select("coarse", "fine", F.col(payload).alias("item"))
     heads = heads.withColumns({"after": F.lead("item").over(across),
                                "head": F.lag(F.lit(1)).over(across).isNull()})
-    # at most _COARSE + 1 rows are left here
+    # at most about 3 * _COARSE rows are left here
     ring = Window.orderBy("coarse")
     whole = ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     tops = heads.filter("head").select(
