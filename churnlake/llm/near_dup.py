@@ -25,6 +25,8 @@ from churnlake.session import drop_staged, stage
 WORDS = 5
 BANDS, ROWS = 38, 5
 PLACES = BANDS * ROWS
+#: Bands are cut so that a pair at the limit shares none with at most this probability.
+MISS = 1e-6
 #: Sets up to this size are compared by 16 bits a hash, larger ones by 22.
 _WIDE, _TABLE = 1024, 1 << 22
 _BLOCK = 256
@@ -128,21 +130,32 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                                       "digest BINARY, signature BINARY")
 
 
-@lean
-def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    with np.errstate(over="ignore"):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            sig = _matrix(batch.column(1))
-            wide = sig.reshape(-1, BANDS, ROWS).astype(U)
-            key = np.zeros(wide.shape[:2], U) + np.arange(BANDS, dtype=U) * _STEP
-            for k in range(ROWS):
-                key = mix(key * U(3) + wide[:, :, k] + U(k + 1))
-            rep = np.repeat(np.arange(len(sig)), BANDS)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(rep)), pa.array(key.reshape(-1).view(np.int64))],
-                names=["rep", "band"])
+def banding(percent: int) -> tuple[int, int]:
+    """Bands and rows of the signature: the longest rows that keep the chance of a miss."""
+    for rows in range(ROWS, 0, -1):
+        if (1 - (percent / 100) ** rows) ** (PLACES // rows) <= MISS:
+            return PLACES // rows, rows
+    raise ValueError(f"signatures of {PLACES} places cannot find links at {percent} percent")
+
+
+def _bands(bands: int, rows: int):
+    @lean
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with np.errstate(over="ignore"):
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                sig = _matrix(batch.column(1))
+                wide = sig[:, :bands * rows].reshape(-1, bands, rows).astype(U)
+                key = np.zeros(wide.shape[:2], U) + np.arange(bands, dtype=U) * _STEP
+                for k in range(rows):
+                    key = mix(key * U(3) + wide[:, :, k] + U(k + 1))
+                rep = np.repeat(np.arange(len(sig)), bands)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(rep)),
+                     pa.array(key.reshape(-1).view(np.int64))], names=["rep", "band"])
+
+    return cut
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -278,22 +291,26 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     set where that is the document's own. Null, empty and word-less texts have an empty set
     and stand alone. Rows with a null id are compared with nothing: null component, kept.
     Rows that repeat an id are kept or not together. An empty table gives no rows; only the
-    two named columns are read. Bands miss a pair at 0.85 with
-    probability 2e-10, at 0.8 with 3e-7.
+    two named columns are read; ids may be of any type with an order. Bands follow
+    ``percent``: they miss a pair at 0.85 with probability 2e-10, at 0.8 with 3e-7, and at any
+    other limit with at most ``MISS``; limits below 7 percent are refused.
     """
+    bands_of = banding(percent)
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     found = stage(features(base), "shingle-features")
     classes = stage(found.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(
         F.min("doc_id").alias("rep"), F.first("signature").alias("signature")), "classes")
     kind = dict(found.dtypes)["doc_id"]
-    bands = classes.select("rep", "signature").mapInArrow(_bands, f"rep {kind}, band BIGINT")
+    bands = classes.select("rep", "signature").mapInArrow(
+        _bands(*bands_of), f"rep {kind}, band BIGINT")
     shared = bands.groupBy("band").agg(F.count("*").alias("members"), F.min("rep").alias("least"),
                                        F.max("rep").alias("most")).filter("least < most")
     members = stage(bands.join(shared.select("band", "members"), "band").distinct(), "buckets")
     mass = members.groupBy("rep").agg(F.sum("members").alias("mass"))
     ranked = members.join(mass, "rep")
-    hubs = ranked.groupBy("band").agg(F.max(F.struct("mass", -F.col("rep"))).alias("hub"))
-    hubs = hubs.select("band", (-F.col("hub.col2")).alias("hub"))
+    hubs = ranked.groupBy("band").agg(
+        F.min(F.struct((-F.col("mass")).alias("mass"), "rep")).alias("hub"))
+    hubs = hubs.select("band", F.col("hub.rep").alias("hub"))
     star = (members.join(hubs, "band").filter("rep <> hub")
             .select(F.least("rep", "hub").alias("u"), F.greatest("rep", "hub").alias("v"))
             .distinct())
