@@ -251,17 +251,19 @@ def _units(heads: dict[str, list[int]]):
     def units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, kinds, digests = [], [], []
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for at, text in enumerate(batch.column(2).to_pylist()):
                 raw = (text or "").splitlines()
                 lines = _lines(raw)
                 whole = _sha(_joined(lines))
                 found = sorted(_runs(text, raw, lines, heads, sizes)) if whole else []
-                rows += [key] * (1 + len(found))
+                rows += [at] * (1 + len(found))
                 kinds += ["text"] + ["part"] * len(found)
                 digests += [whole, *found]
+            rows = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rows, batch.column(0).type), pa.array(kinds, pa.string()),
-                 pa.array(digests, pa.string())], names=["doc_id", "unit", "digest"])
+                [batch.column(0).take(rows), batch.column(1).take(rows),
+                 pa.array(kinds, pa.string()), pa.array(digests, pa.string())],
+                names=["doc_id", "key", "unit", "digest"])
 
     return units
 
@@ -274,24 +276,27 @@ def scan(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id"
     (sorted, distinct). ``known`` is a table as from ``known_digests``, all known texts by default;
     the first words and lengths of its texts are sent to every task.
     A null or empty text, or one of copyright lines only, has a null digest and matches
-    nothing. Rows that repeat an id keep their own whole-text match and share their parts' matches.
-    Only the two named columns are read.
+    nothing. Rows that repeat an id, or have none, are told apart by a 64-bit hash of the text, so
+    each has the matches of its own text. Only the two named columns are read.
     """
     known = known if known is not None else known_digests(docs.sparkSession)
     heads = defaultdict(list)
     for head, length in known.select("head", "n_words").distinct().collect():
         heads[head].append(length)
     known = known.groupBy("digest").agg(F.min("licence").alias("licence"))
-    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    base = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("key"),
+                       F.col(text_col).alias("text"))
     kind = dict(base.dtypes)["doc_id"]
-    units = base.mapInArrow(_units(dict(heads)), f"doc_id {kind}, unit STRING, digest STRING")
+    units = base.mapInArrow(_units(dict(heads)),
+                            f"doc_id {kind}, key BIGINT, unit STRING, digest STRING")
     # texts are read once: whole texts and the few parts that match are written and read back
     found = stage(units.join(known, "digest", "left")
                   .filter("unit = 'text' OR licence IS NOT NULL"), "licence-matches")
-    parts = (found.filter("unit = 'part'").groupBy(F.col("doc_id").alias("of"))
+    parts = (found.filter("unit = 'part'").groupBy(F.col("doc_id").alias("of"), F.col("key").alias("of_key"))
              .agg(F.array_sort(F.collect_set("licence")).alias("part_licences")))
     return (found.filter("unit = 'text'")
-            .join(parts, F.col("doc_id").eqNullSafe(F.col("of")), "left")
+            .join(parts, F.col("doc_id").eqNullSafe(F.col("of"))
+                  & (F.col("key") == F.col("of_key")), "left")
             .select("doc_id", "digest", "licence",
                     F.coalesce("part_licences", F.array().cast("array<string>"))
                     .alias("part_licences")))
