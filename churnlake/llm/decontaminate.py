@@ -24,6 +24,8 @@ WINDOW = 10
 SEGMENT_WORDS = 1 << 20
 #: Benchmark words that one pass over the index looks up; more take further passes.
 QUERY_WORDS = 2_000_000
+#: Postings of rarest words that a task follows at once.
+_POSTINGS = 1 << 20
 
 _INDEX = ("segment BIGINT, doc_ids BINARY, first BINARY, words BINARY, terms BINARY, "
           "ends BINARY, positions BINARY")
@@ -82,7 +84,10 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 class Windows:
-    """Benchmark windows of up to ``WINDOW`` words as hash rows, padded with the first word."""
+    """Benchmark windows of up to ``WINDOW`` words as hash rows, padded with the first word.
+
+    Equal windows are one row; ``of[ends[w - 1]:ends[w]]`` are the items that hold window w.
+    """
 
     def __init__(self, items: list[tuple[str, str | None]], width: int = WINDOW):
         ids, texts = [i for i, _ in items], pa.array([t for _, t in items], pa.large_string())
@@ -99,10 +104,26 @@ class Windows:
                 of.append(np.repeat(row + k, len(grams[-1])))
                 sizes.append(np.repeat(min(n, width), len(grams[-1])))
         self.grams = np.concatenate(grams) if grams else np.empty((0, width), np.uint64)
-        self.of = np.concatenate(of) if of else np.empty(0, np.int64)
         self.sizes = np.concatenate(sizes) if sizes else np.empty(0, np.int64)
+        self._fold(np.concatenate(of) if of else np.empty(0, np.int64))
         self.vocabulary = np.unique(self.grams)
-        self.order = np.tile(np.arange(width), (len(self.of), 1))
+        self.order = np.tile(np.arange(width), (len(self.sizes), 1))
+
+    def _fold(self, of: np.ndarray) -> None:
+        order = np.lexsort([*self.grams.T, self.sizes])
+        grams, sizes = self.grams[order], self.sizes[order]
+        fresh = np.ones(len(order), bool)
+        fresh[1:] = (grams[1:] != grams[:-1]).any(axis=1) | (sizes[1:] != sizes[:-1])
+        self.grams, self.sizes = grams[fresh], sizes[fresh]
+        n = max(1, len(self.ids))
+        owned = np.unique((np.cumsum(fresh) - 1) * n + of[order])
+        self.of = owned % n
+        self.ends = np.searchsorted(owned // n, np.arange(len(self.sizes)), side="right")
+
+    def items(self, found: np.ndarray) -> list[str]:
+        """Sorted distinct ids of the items that hold any of the windows."""
+        rows = [self.of[self.ends[w - 1] if w else 0:self.ends[w]] for w in np.unique(found)]
+        return sorted({self.ids[i] for part in rows for i in part})
 
     def rank(self, counts: dict[int, int]) -> None:
         """Order each window's words from rare to frequent in the whole corpus; pads last."""
@@ -156,20 +177,26 @@ def _matches(windows: Windows, terms, ends, positions, slop: int):
     forward[positions] = np.repeat(np.arange(len(terms), dtype=np.int32), np.diff(ends))
     offset = order[:, 0]
     rarest = grams[np.arange(len(alive)), offset]
-    counts = ends[rarest + 1] - ends[rarest]
-    window = np.repeat(np.arange(len(alive)), counts)
-    within = np.arange(len(window)) - np.repeat(np.cumsum(counts) - counts, counts)
-    start = positions[ends[rarest[window]] + within].astype(np.int64) - offset[window]
-    for k in range(1, grams.shape[1]):
-        offset = order[window, k]
-        term = grams[window, offset]
-        hit = offset >= sizes[window]  # padding
-        for shift in range(-slop, slop + 1):
-            place = start + offset + shift
-            good = (place >= 0) & (place < size)
-            hit |= good & (forward[np.where(good, place, 0)] == term)
-        window, start = window[hit], start[hit]
-    return alive[window], start
+    upto = np.cumsum(ends[rarest + 1] - ends[rarest])
+    windows_found, starts = [], []
+    for lo in range(0, int(upto[-1]) if len(upto) else 0, _POSTINGS):
+        flat = np.arange(lo, min(lo + _POSTINGS, int(upto[-1])))
+        window = np.searchsorted(upto, flat, side="right")
+        posting = ends[rarest[window] + 1] - (upto[window] - flat)
+        start = positions[posting].astype(np.int64) - offset[window]
+        for k in range(1, grams.shape[1]):
+            off = order[window, k]
+            term = grams[window, off]
+            hit = off >= sizes[window]  # padding
+            for shift in range(-slop, slop + 1):
+                place = start + off + shift
+                good = (place >= 0) & (place < size)
+                hit |= good & (forward[np.where(good, place, 0)] == term)
+            window, start = window[hit], start[hit]
+        windows_found.append(alive[window])
+        starts.append(start)
+    none = [np.empty(0, np.int64)]
+    return np.concatenate(windows_found or none), np.concatenate(starts or none)
 
 
 def search(index: DataFrame, windows: Windows, slop: int = 0) -> DataFrame:
@@ -195,7 +222,7 @@ def search(index: DataFrame, windows: Windows, slop: int = 0) -> DataFrame:
                                       words[r])
                     pairs = np.unique(np.stack([low, high], axis=1), axis=0)
                     spans.append([{"a": int(x), "b": int(y)} for x, y in pairs])
-                    items.append(sorted({windows.ids[i] for i in windows.of[window[a:b]]}))
+                    items.append(windows.items(window[a:b]))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(rows), segment)), pa.array(rows.astype(np.int64)),
                      pa.array(spans, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))),
