@@ -623,3 +623,104 @@ def test_op3_signature_of_a_large_set_from_pieces():
     values = np.unique(np.random.default_rng(4).integers(0, 2**63, 5000).astype(np.uint64))
     whole = near_dup.signatures(values, np.array([len(values)]))
     assert (near_dup.in_pieces(values, np.array([len(values)]), 700) == whole).all()
+
+
+def edited_by_hand(rows):
+    """(text, edited text) of rows in the given order."""
+    out = []
+    for (_, text), (_, after) in zip(rows, [*rows[1:], rows[0]]):
+        half = len(text) // 2
+        out.append((text, text[:len(text) - half] + after[:half]))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("kind", ["numbers", "texts"])
+def test_op1_order_of_any_ids_with_a_dominant_one(spark, kind):
+    """A third of the rows have one id and some none; ids beside it, far away and below zero."""
+    texts = [f"text {i} of the set {i * 7919 % 1013} and more words" for i in range(900)]
+    ids = [None if i % 9 == 1 else 50 if i % 3 == 0 else i * 31 % 907 - 100 for i in range(900)]
+    ids[4], ids[5] = 10**15, 49
+    if kind == "texts":
+        ids = [None if i is None else f"doc-é{i + 100:020d}" for i in ids]
+    frame = spark.createDataFrame(
+        list(zip(ids, texts)), "doc_id " + ("STRING" if kind == "texts" else "BIGINT")
+        + ", text STRING").withColumn("tie", F.xxhash64("text"))
+    rows = sorted(((r["doc_id"] is not None, r["doc_id"] or "" if kind == "texts"
+                    else r["doc_id"] or 0, r["tie"]), r["text"]) for r in frame.collect())
+    got = fingerprint.with_next(frame, "text", rows_per_cell=2).collect()
+    following = dict(zip((t for _, t in rows), (t for _, t in [*rows[1:], rows[0]])))
+    assert {r["text"]: r["next"] for r in got} == following and len(got) == 900
+    pairs = fingerprint.edited_pairs(frame.drop("tie")).select("text", "edited").collect()
+    assert sorted(map(tuple, pairs)) == edited_by_hand(rows)
+
+
+def test_op1_likeness_equals_sets_of_hashes(spark, documents):
+    """Containment against plain sets of the same shingles' hashes."""
+    got = collected(QUERIES["op1_fingerprints"](spark, TESTDATA))
+    kept = {i: {r["fingerprint"][k:k + 16] for k in range(0, len(r["fingerprint"]), 16)}
+            for i, r in got.items()}
+    ids = sorted(documents)
+    for i, after in zip(ids, [*ids[1:], ids[0]]):
+        same = float(documents[i] == documents[after])
+        want = len(kept[i] & kept[after]) / len(kept[i]) if kept[i] else same
+        assert got[i]["near_next"] == pytest.approx(want)
+        text = got[i]["edited_fingerprint"]
+        edited = {text[k:k + 16] for k in range(0, len(text), 16)}
+        if kept[i]:
+            assert got[i]["near_edited"] == pytest.approx(len(kept[i] & edited) / len(kept[i]))
+    sample = ids[:40]
+    flat = spark.createDataFrame([(i, documents[i]) for i in sample], "i BIGINT, text STRING")
+    grams = {i: {tuple(w[k:k + 5]) for k in range(len(w) - 4)} or ({tuple(w)} if w else set())
+             for i in sample for w in [words(documents[i])]}
+    sizes = dict(flat.select("i", F.size(fingerprint.sketch(F.col("text"), 0.5))).collect())
+    total = sum(len(g) for g in grams.values())
+    assert abs(sum(sizes.values()) - total / 2) < 6 * math.sqrt(total)
+
+
+def test_op3_text_ids_and_other_limits(spark, documents):
+    named = {f"id-{i:09d}": t for i, t in documents.items()}
+    frame = spark.createDataFrame(list(named.items()), "doc_id STRING, text STRING")
+    got = {r["doc_id"]: r["component_id"] for r in near_dup.near_duplicates(frame, 85).collect()}
+    want = brute_components(documents, 85)
+    assert got == {f"id-{i:09d}": f"id-{c:09d}" for i, (_, c) in want.items()}
+
+
+def test_op3_bands_follow_the_limit(spark):
+    assert near_dup.banding(80) == near_dup.banding(85) == (38, 5)
+    with pytest.raises(ValueError):
+        near_dup.banding(5)
+    rng = np.random.default_rng(2)
+    docs = {}
+    for i in range(40):  # pairs that share four in ten of their shingles
+        tokens = [f"a{v}" for v in rng.integers(0, 10**9, 400)]
+        docs[2 * i] = " ".join(tokens)
+        docs[2 * i + 1] = " ".join(tokens[:232] + [f"b{v}" for v in rng.integers(0, 10**9, 168)])
+    frame = spark.createDataFrame(list(docs.items()), "doc_id BIGINT, text STRING")
+    got = collected(near_dup.near_duplicates(frame, 38))
+    want = brute_components(docs, 38)
+    assert {i: r["component_id"] for i, r in got.items()} == {i: c for i, (_, c) in want.items()}
+    assert sum(i != c for i, (_, c) in want.items()) == 40
+
+
+def test_op5_rows_that_repeat_an_id_keep_their_own_parts(spark):
+    line = "Released under the MIT License."
+    frame = spark.createDataFrame(
+        [(None, "plain words only"), (None, f"{BASE}\n{line}\n{BASE}"), (1, f"a\n{line}\nb"),
+         (1, "nothing here"), (1, f"a\n{line}\nb"), (2, None)], "doc_id BIGINT, text STRING")
+    got = sorted((str(r["doc_id"]), tuple(r["part_licences"])) for r in licences.scan(frame).collect())
+    assert got == [("1", ()), ("1", ("MIT",)), ("1", ("MIT",)), ("2", ()), ("None", ()),
+                   ("None", ("MIT",))]
+
+
+def test_op8_equal_windows_are_one_and_postings_come_in_pieces(spark, monkeypatch):
+    windows = decontaminate.Windows([("a", "same " * 10_000), ("b", "same " * 40 + "other"),
+                                     ("c", "same"), ("d", None)])
+    assert len(windows.sizes) == 3 and windows.items(np.arange(3)) == ["a", "b", "c"]
+    monkeypatch.setattr(decontaminate, "_POSTINGS", 64)
+    docs = spark.createDataFrame([(1, "same " * 3000), (2, "same " * 9 + "other words"),
+                                  (3, "other same"), (4, "none")], "doc_id BIGINT, text STRING")
+    items = spark.createDataFrame([("a", "same " * 10_000), ("b", "same " * 40 + "other")],
+                                  "item_id STRING, text STRING")
+    got = collected(decontaminate.contamination(docs, items))
+    assert {i: (r["n_hit"], r["items"]) for i, r in got.items()} == {
+        1: (3000, ["a", "b"]), 2: (10, ["b"]), 3: (0, []), 4: (0, [])}
