@@ -724,3 +724,11 @@ def test_op8_equal_windows_are_one_and_postings_come_in_pieces(spark, monkeypatc
     got = collected(decontaminate.contamination(docs, items))
     assert {i: (r["n_hit"], r["items"]) for i, r in got.items()} == {
         1: (3000, ["a", "b"]), 2: (10, ["b"]), 3: (0, []), 4: (0, [])}
+
+
+@pytest.mark.parametrize("kind", [np.float32, np.int64])
+def test_op2_pieces_of_numbers_come_back(kind):
+    values = (np.random.default_rng(1).normal(size=999) * 1e6).astype(kind)
+    blob = language_model._spread(values)
+    assert (language_model._gathered(blob, kind) == values).all()
+    assert len(language_model._gathered(language_model._spread(values[:0]), kind)) == 0
