@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from churnlake import schema as S
 from churnlake.functions.expressions import col
 from churnlake.operators import mlprep as M
+from churnlake.operators.silhouette import euclidean_silhouette
 from churnlake.session import kept, small_frame
 
 MICRO_CLUSTERS = 200
@@ -51,14 +52,17 @@ def nearest_centre(values: Sequence[Column], centres: Sequence[Sequence[float]])
 
 def silhouettes_by_k(vectors: DataFrame, ks: Sequence[int] = (3, 4, 5, 6), seed: int = 42,
                      key: str = "user_id") -> DataFrame:
-    """Squared Euclidean silhouette over all rows for several k."""
+    """Silhouettes over all rows for several k: squared Euclidean, and Euclidean with its error."""
     rows = []
     with kept(vectors.select(key, "features")) as points:
         for k in ks:
             labelled, _ = kmeans(points, k, seed, "cluster")
             with kept(labelled) as held:
-                rows.append((k, silhouette(held, "cluster").first()["silhouette"]))
-    return small_frame(vectors.sparkSession, rows, "k INT, silhouette DOUBLE")
+                plain = euclidean_silhouette(held, "cluster").first()
+                rows.append((k, silhouette(held, "cluster").first()["silhouette"],
+                             plain["silhouette"], plain["error"]))
+    return small_frame(vectors.sparkSession, rows,
+                       "k INT, silhouette DOUBLE, euclidean DOUBLE, euclidean_error DOUBLE")
 
 
 def silhouette(labelled: DataFrame, cluster: str, features: str = "features") -> DataFrame:

@@ -21,6 +21,7 @@ from churnlake.registry.base import query, r6, rounded
 from churnlake.registry.profile_queries import SEGMENT, SPLIT_SQL, assigned, training_rows
 from churnlake.registry.sql import CTES, NUMERIC, exact_avg
 from churnlake.registry.star_tables import EVENT_HORIZON_DAYS, HORIZON_DAYS
+from churnlake.operators.silhouette import euclidean_silhouette
 from churnlake.session import keep, stage
 
 # --- H: hypothesis tests --------------------------------------------------------------
@@ -317,6 +318,23 @@ def l8_silhouette(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(G.silhouette(rows, "cluster"), ["silhouette"])
 
 
+@query("l8_euclidean_silhouette", """
+SELECT round(avg(CASE WHEN a IS NULL OR b IS NULL OR greatest(a, b) = 0 THEN 0
+                      ELSE (b - a) / greatest(a, b) END), 6) AS silhouette, count(*) AS n
+FROM (SELECT user_id, max(d) FILTER (cluster = other) AS a,
+             min(d) FILTER (cluster <> other) AS b
+      FROM (SELECT r.user_id, r.cluster, p.cluster AS other,
+                   avg(sqrt((r.z1 - p.z1) ** 2 + (r.z2 - p.z2) ** 2 + (r.z3 - p.z3) ** 2
+                            + (r.z4 - p.z4) ** 2)) FILTER (r.user_id <> p.user_id) AS d
+            FROM seg_assigned r CROSS JOIN seg_assigned p
+            GROUP BY r.user_id, r.cluster, p.cluster)
+      GROUP BY user_id)""")
+def l8_euclidean_silhouette(spark: SparkSession, folder: str) -> DataFrame:
+    """All rows against cells of rows; equal to all pairs while the distinct points are cells."""
+    rows = euclidean_silhouette(assigned(spark, folder).select("cluster", "features"), "cluster")
+    return rounded(rows.select("silhouette", "n"), ["silhouette"])
+
+
 @query("l8_silhouette_by_k")
 def l8_silhouette_by_k(spark: SparkSession, folder: str) -> DataFrame:
     return G.silhouettes_by_k(segment_vectors(spark, folder))
