@@ -1,10 +1,12 @@
-"""Customer segmentation: k-means, Ward groups over micro-clusters, silhouettes, PCA."""
+"""Customer segmentation: k-means, Ward groups over cells, silhouettes, PCA."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -14,10 +16,11 @@ from pyspark.sql import functions as F
 from churnlake import schema as S
 from churnlake.functions.expressions import col
 from churnlake.operators import mlprep as M
-from churnlake.operators.silhouette import euclidean_silhouette
-from churnlake.session import kept, small_frame
+from churnlake.operators.silhouette import cells_of, euclidean_silhouette
+from churnlake.session import drop_staged, kept, small_frame, stage
 
-MICRO_CLUSTERS = 200
+#: Cells that Ward merges; with no more distinct points, it works on these.
+MICRO_CLUSTERS = 2048
 DENDROGRAM_ROWS = 800
 
 
@@ -101,30 +104,32 @@ def ward_merges(points: np.ndarray, weights: np.ndarray) -> list[tuple[int, int,
     the distance of the centres.
     """
     n = len(points)
-    centre = points.astype(float).copy()
-    weight = weights.astype(float).copy()
-    number = np.arange(n)
-
-    def costs(i: int) -> np.ndarray:
-        gap = ((centre - centre[i]) ** 2).sum(axis=1)
-        return 2.0 * weight * weight[i] / (weight + weight[i]) * gap
-
-    cost = np.stack([costs(i) for i in range(n)]) if n else np.zeros((0, 0))
-    np.fill_diagonal(cost, np.inf)
-    out = []
-    for step in range(n - 1):
-        i, j = divmod(int(cost.argmin()), n)
-        i, j = min(i, j), max(i, j)
-        height, joined = float(np.sqrt(cost[i, j])), weight[i] + weight[j]
-        left, right = sorted((int(number[i]), int(number[j])))
-        out.append((left, right, height, float(joined)))
+    centre, weight = points.astype(float).copy(), weights.astype(float).copy()
+    alive, number, level = np.ones(n, bool), np.arange(n), np.zeros(n)
+    made, chain = [], []
+    while len(made) < n - 1:
+        # a chain of nearest neighbours ends in two that are each other's: they merge at any time
+        if not chain:
+            chain.append(int(alive.argmax()))
+        i = chain[-1]
+        cost = 2.0 * weight * weight[i] / (weight + weight[i]) * ((centre - centre[i]) ** 2).sum(1)
+        cost[~alive] = np.inf
+        cost[i] = np.inf
+        j = int(cost.argmin())
+        if len(chain) < 2 or cost[chain[-2]] > cost[j]:
+            chain.append(j)
+            continue
+        i, j = sorted(chain[-2:])
+        del chain[-2:]
+        joined = weight[i] + weight[j]
+        height = max(float(np.sqrt(cost[i if cost[j] == np.inf else j])), level[i], level[j])
+        made.append((number[i], number[j], height, float(joined)))
         centre[i] = (centre[i] * weight[i] + centre[j] * weight[j]) / joined
-        weight[i], number[i] = joined, n + step
-        gone = np.isinf(cost[i])
-        cost[i] = cost[:, i] = np.where(gone, np.inf, costs(i))
-        cost[i, i] = np.inf
-        cost[j, :] = cost[:, j] = np.inf
-    return out
+        weight[i], number[i], level[i], alive[j] = joined, n + len(made) - 1, height, False
+    order = np.argsort([m[2] for m in made], kind="stable")
+    place = np.append(np.arange(n), n + np.argsort(order, kind="stable"))
+    return [(*sorted((int(place[made[k][0]]), int(place[made[k][1]]))), *made[k][2:])
+            for k in order]
 
 
 def _groups(merges: list[tuple[int, int, float, float]], n: int, groups: int) -> list[int]:
@@ -142,31 +147,40 @@ def _groups(merges: list[tuple[int, int, float, float]], n: int, groups: int) ->
     return [order.setdefault(root(i), len(order)) for i in range(n)]
 
 
-def ward(vectors: DataFrame, groups: int = 4, micro: int = MICRO_CLUSTERS, seed: int = 42,
+def ward(vectors: DataFrame, groups: int = 4, micro: int = MICRO_CLUSTERS,
          cluster: str = "hclust_cluster") -> tuple[DataFrame, DataFrame]:
-    """Ward groups of all rows, and the merge list of the micro-clusters.
+    """Ward groups of all rows, and the merge list of the cells that they are folded into.
 
-    All-pairs linkage cannot grow with the rows, so k-means first folds them into a
-    fixed number of weighted centres; Ward merges those, and every row takes the
-    group of its centre.
+    All-pairs linkage cannot grow with the rows, so passes over all rows split them into at most
+    ``micro`` cells; Ward merges the cells' weighted centres, and every row takes the group of
+    its cell. With up to ``micro`` distinct points each is a cell, and the groups are those of
+    Ward over rows (whose further merges, of equal points, have height 0). Groups are numbered by
+    their smallest cell; rows without features have a null group.
     """
-    labelled, model = kmeans(vectors, micro, seed, "__micro")
-    sizes = {r["__micro"]: r["n"] for r in
-             labelled.groupBy("__micro").agg(F.count(F.lit(1)).alias("n")).collect()}
-    used = sorted(sizes)
-    centres = np.array([model.clusterCenters()[i] for i in used])
-    weights = np.array([sizes[i] for i in used], dtype=float)
-    merges = ward_merges(centres, weights)
-    group = _groups(merges, len(used), groups)
-    spark = vectors.sparkSession
-    lookup = small_frame(
-        spark, [(m, g) for m, g in zip(used, group)], f"__micro INT, `{cluster}` INT"
-    )
+    tags = pa.array([0], pa.int32())
+    points = vectors.select(F.lit(0).alias("tag"), vector_to_array("features").alias("x"))
+    points = stage(points.filter("x IS NOT NULL"), "ward-points")
+    first = points.select(F.size("x").alias("width")).first()
+    tree, cells = cells_of(points, tags[: 1 if first else 0], first["width"] if first else 0, micro)
+    drop_staged(points)
+    merges = ward_merges(cells.centre, cells.n)
+    label = np.full(len(tree.axis) + 1, -1)
+    label[cells.node] = _groups(merges, len(cells.n), groups)
+
+    @F.pandas_udf("int")
+    def group_of(x: pd.Series) -> pd.Series:
+        out = pd.Series(pd.NA, index=x.index, dtype="Int32")
+        some = x.notna().to_numpy()
+        if some.any():
+            rows = np.stack(x[some].to_list())
+            out[some] = label[tree.find(np.zeros(len(rows), np.int64), rows)]
+        return out
+
     table = small_frame(
-        spark, [(i, *m) for i, m in enumerate(merges)],
+        vectors.sparkSession, [(i, *m) for i, m in enumerate(merges)],
         "step INT, left_id INT, right_id INT, height DOUBLE, size DOUBLE",
     )
-    return labelled.join(F.broadcast(lookup), "__micro", "left").drop("__micro"), table
+    return vectors.withColumn(cluster, group_of(vector_to_array("features"))), table
 
 
 def ward_sample_merges(vectors: DataFrame, key: str = "user_id", rows: int = DENDROGRAM_ROWS,

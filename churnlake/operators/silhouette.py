@@ -114,6 +114,22 @@ def _measured(points: DataFrame, tags: pa.Array, tree: CellTree, width: int) ->
         *[how[f.rstrip("0123456789")](f).alias(f) for f in fields]).collect(), width)
 
 
+def cells_of(points: DataFrame, tags: pa.Array, width: int,
+             max_cells: int) -> tuple[CellTree, Cells]:
+    """Cells of the points (tag, x): split by number times width until all are points or used up."""
+    tree = CellTree(len(tags))
+    cells = Cells([], max(width, 1))
+    while len(tags):
+        cells = _measured(points, tags, tree, width)
+        worth = cells.n * np.sqrt(((cells.high - cells.low) ** 2).sum(axis=1))
+        order = np.argsort(-worth, kind="stable")[:max(0, max_cells - len(cells.n))]
+        chosen = np.sort(order[worth[order] > 0])
+        if not len(chosen):
+            break
+        tree.split(cells.node[chosen], cells.low[chosen], cells.high[chosen])
+    return tree, cells
+
+
 def _between(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     most = np.maximum(a, b)
     return np.divide(b - a, most, out=np.zeros_like(most), where=most > 0)
@@ -161,16 +177,7 @@ def euclidean_silhouette(labelled: DataFrame, cluster: str, features: str = "fea
     tags = found["tag"].combine_chunks()
     sizes = found["n"].to_numpy().astype(float)
     width = max(found["width"].to_pylist(), default=0)
-    tree = CellTree(len(sizes))
-    cells = Cells([], max(width, 1))
-    while len(sizes):
-        cells = _measured(points, tags, tree, width)
-        worth = cells.n * np.sqrt(((cells.high - cells.low) ** 2).sum(axis=1))
-        order = np.argsort(-worth, kind="stable")[:max(0, max_cells - len(cells.n))]
-        chosen = np.sort(order[worth[order] > 0])
-        if not len(chosen):
-            break
-        tree.split(cells.node[chosen], cells.low[chosen], cells.high[chosen])
+    tree, cells = cells_of(points, tags, width, max_cells)
     of = tree.root[cells.node] if len(cells.node) else np.empty(0, np.int64)
     order = np.lexsort((*cells.centre.T, of))
     cells.n, cells.centre, cells.radius = cells.n[order], cells.centre[order], cells.radius[order]

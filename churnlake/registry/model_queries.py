@@ -348,7 +348,8 @@ def l9_ward_groups(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("l10_merge_table")
 def l10_merge_table(spark: SparkSession, folder: str) -> DataFrame:
-    return G.ward_sample_merges(segment_vectors(spark, folder))
+    """Ward's merges of the cells that all rows are folded into."""
+    return G.ward(segment_vectors(spark, folder))[1]
 
 
 @query("l11_pca")

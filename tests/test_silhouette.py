@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.ml.feature import VectorAssembler
 
+from churnlake.operators import segment as G
 from churnlake.operators import silhouette as E
 
 
@@ -74,3 +75,32 @@ def test_a_cut_never_leaves_an_empty_part():
     tree.split(np.array([0]), np.array([[a, 0.0]]), np.array([[b, 0.0]]))
     node = tree.find(np.array([0, 0]), np.array([[a, 0.0], [b, 0.0]]))
     assert node.tolist() == [1, 2] and tree.root.tolist() == [0, 0, 0]
+
+
+def ward_partition(x: np.ndarray, groups: int) -> set[frozenset[int]]:
+    """Ward over rows by plain search of the cheapest merge."""
+    held = [[i] for i in range(len(x))]
+    while len(held) > groups:
+        best = min(((len(a) * len(b) / (len(a) + len(b))
+                     * ((x[a].mean(0) - x[b].mean(0)) ** 2).sum(), i, j)
+                    for i, a in enumerate(held) for j, b in enumerate(held) if i < j))
+        held[best[1]] += held.pop(best[2])
+    return {frozenset(h) for h in held}
+
+
+def test_ward_equals_ward_over_rows(spark):
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.normal(size=(30, 2)), rng.normal(size=(25, 2)) + 3,
+                        np.repeat([[1.0, 7.0]], 6, axis=0)])
+    rows, merges = G.ward(frame(spark, x, range(len(x))), 5)
+    got = {}
+    for r in rows.select("tag", "hclust_cluster").collect():
+        got.setdefault(r[1], set()).add(r[0])
+    assert {frozenset(g) for g in got.values()} == ward_partition(x, 5)
+    assert merges.count() == 55 and merges.orderBy("step").collect()[-1]["size"] == 61
+    heights = [r["height"] for r in merges.orderBy("step").collect()]
+    assert heights == sorted(heights)
+    few, table = G.ward(frame(spark, x, range(len(x))), 3, micro=12)
+    assert table.count() == 11 and few.select("hclust_cluster").distinct().count() == 3
+    none, table = G.ward(frame(spark, x, range(len(x))).limit(0), 3)
+    assert none.count() == 0 and table.count() == 0
