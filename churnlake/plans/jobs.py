@@ -25,7 +25,7 @@ from churnlake.operators import segment as G
 from churnlake.operators.features import user_features
 from churnlake.operators.snapshot import cohort, snapshots, training_features
 from churnlake.session import kept
-from churnlake.sources.tables import ShopTables, write_table
+from churnlake.sources.tables import ShopTables, read_partitions, write_partitions, write_table
 
 
 def _stage(df: DataFrame, path: str) -> DataFrame:
@@ -79,16 +79,16 @@ def exploration(tables: ShopTables, out: str, ref: datetime | None = None,
 
 def snapshot_build(tables: ShopTables, out: str, latest: datetime | None = None,
                    horizon_days: int = S.CHURN_DAYS) -> dict[str, str]:
-    """Train and test snapshots two and one horizons before the end, and their summary."""
+    """Train and test snapshots two and one horizons before the end, and their summary.
+
+    Snapshots of other dates that the folder already holds stay.
+    """
     latest = latest or A.reference_date(tables)
     refs = [latest - timedelta(days=n * horizon_days) for n in (2, 1)]
-    write_table(
-        snapshots(tables, refs, horizon_days), f"{out}/snapshots",
-        partition_by=["snapshot_ref_date"],
-    )
-    rows = tables.users.sparkSession.read.parquet(f"{out}/snapshots").withColumn(
-        "snapshot_ref_date", F.col("snapshot_ref_date").cast("timestamp_ntz")
-    )
+    made = snapshots(tables, refs, horizon_days)
+    write_partitions(made, f"{out}/snapshots", ["snapshot_ref_date"])
+    rows = read_partitions(tables.users.sparkSession, f"{out}/snapshots", made.schema).filter(
+        F.col("snapshot_ref_date").isin(refs))
     with kept(rows) as held:
         paths = _write_all({
             "cohort": cohort(held), "summary": X.cohort_summary(held),

@@ -20,7 +20,7 @@ from churnlake.operators.features import ZERO_FILL, user_features, wide_assembly
 from churnlake.registry import star_tables as T
 from churnlake.registry.base import b, longs, query, r6, rounded
 from churnlake.registry.star_tables import HORIZON_DAYS as H
-from churnlake.session import shared_folder
+from churnlake.session import shared_folder, stage
 from churnlake.sources import tables as IO
 
 
@@ -66,6 +66,26 @@ def s3_required_columns(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("s4_partition_rewrite", """
+SELECT snapshot_ref_date, count(*) AS n, CAST(sum(order_count) AS BIGINT) AS orders_seen
+FROM s_snapshots
+WHERE order_count > 0 OR snapshot_ref_date = (SELECT min(snapshot_ref_date) FROM s_snapshots)
+GROUP BY snapshot_ref_date""")
+def s4_partition_rewrite(spark: SparkSession, folder: str) -> DataFrame:
+    """Two dates are written, the later one again without users who never bought."""
+    tables = T.shop(spark, folder)
+    latest = A.reference_date(tables)
+    path = scratch(spark, "snapshots")
+    refs = [latest - timedelta(days=2 * H), latest - timedelta(days=H)]
+    made = N.snapshots(tables, refs, H)
+    IO.write_partitions(made, path, ["snapshot_ref_date"])
+    again = IO.read_partitions(spark, path, made.schema).filter(
+        (F.col("snapshot_ref_date") == F.lit(refs[1])) & (F.col("order_count") > 0))
+    IO.write_partitions(stage(again, "snapshot-again"), path, ["snapshot_ref_date"])
+    return IO.read_partitions(spark, path, made.schema).groupBy("snapshot_ref_date").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("order_count").alias("orders_seen"))
+
+
 @query("s4_partitioned_sink", f"""
 SELECT snapshot_ref_date, count(*) AS n, CAST(sum(churn_90d) AS BIGINT) AS churned,
        CAST(sum(order_count) AS BIGINT) AS orders_seen

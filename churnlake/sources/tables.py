@@ -114,3 +114,22 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet",
     if parts:
         writer = writer.partitionBy(*parts)
     writer.save(path)
+
+
+def write_partitions(df: DataFrame, path: str, partition_by: Iterable[str]) -> None:
+    """Replace the partitions that the rows belong to and leave all others as they are.
+
+    Writing the same rows again, also after a failed attempt, gives the same table. A partition
+    that gets no rows is not touched, so an empty frame changes nothing.
+    """
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by).parquet(path))
+
+
+def read_partitions(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A partitioned table with declared types, those of its partition columns included.
+
+    Nothing is inferred from folder names, so a filter on a partition column compares in its own
+    type and prunes folders.
+    """
+    return spark.read.schema(schema).parquet(path)
