@@ -1,8 +1,8 @@
 """Cox proportional hazards with Efron's handling of ties.
 
 A Newton step needs, for every distinct duration, the sums of w, w x and w x x' with
-w = exp(x'b), for all rows and for rows with an event. They are one aggregation with map-side
-combine; what reaches the driver is one line per distinct duration (days, so a few thousand)
+w = exp(x'b), for all rows and for rows with an event. Tasks add them up in blocks (``moments``)
+and again after a shuffle by duration; what reaches the driver is one line per distinct duration (days, so a few thousand)
 and event flag. Sums over risk sets are suffix sums of those lines, and the sums over a
 duration's tied events take the same time however many events there are.
 """
@@ -22,6 +22,7 @@ from churnlake import schema as S
 from churnlake.functions import expressions as E
 from churnlake.functions import pvalues as P
 from churnlake.operators import mlprep as M
+from churnlake.operators.moments import time_sums
 from churnlake.session import kept, small_frame
 
 Z_95 = 1.959963984540054
@@ -63,35 +64,9 @@ def cox_frame(features: DataFrame, ref: datetime,
     return filled.select("user_id", "duration", "event", *covariates), covariates
 
 
-def duration_sums(df: DataFrame, duration: str, event: str, covariates: Sequence[str],
-                  means: Sequence[float], scales: Sequence[float],
-                  beta: Sequence[float]) -> DataFrame:
-    """Per (duration, event): row count n, then sums of x, of w, of w x and of w x x'.
-
-    ``x`` are the standardised covariates and w = exp(x'beta). The sums are named x0, x1, ...,
-    w, wx0, ... and wx0_0, wx0_1, ... (upper triangle).
-    """
-    p = len(covariates)
-    x = [f"x{i}" for i in range(p)]
-    rows = df.select(
-        F.col(duration).cast("bigint").alias("duration"), F.col(event).cast("bigint").alias("event"),
-        *[((E.col(c).cast("double") - F.lit(float(m))) / F.lit(float(s))).alias(n)
-          for n, c, m, s in zip(x, covariates, means, scales)])
-    # an array literal is no part of the generated code, which so serves every step
-    products = F.zip_with(F.array(*x), F.array(*map(F.lit, map(float, beta))), lambda v, b: v * b)
-    score = F.aggregate(products, F.lit(0.0), lambda done, v: done + v)
-    weighted = rows.withColumn("w", F.exp(score)).withColumns(
-        {f"w{n}": F.col("w") * F.col(n) for n in x})
-    return weighted.groupBy("duration", "event").agg(
-        F.count(F.lit(1)).alias("n"), *[F.sum(n).alias(n) for n in [*x, "w"]],
-        *[F.sum(f"w{n}").alias(f"w{n}") for n in x],
-        *[F.sum(F.col(f"wx{i}") * F.col(f"x{j}")).alias(f"wx{i}_{j}")
-          for i in range(p) for j in range(i, p)])
-
-
 def _duration_sums(df: DataFrame, duration: str, event: str, covariates: Sequence[str],
                    means: np.ndarray, scales: np.ndarray, beta: np.ndarray) -> pd.DataFrame:
-    lines = duration_sums(df, duration, event, covariates, means, scales, beta)
+    lines = time_sums(df, duration, event, covariates, means, scales, beta)
     table = lines.toArrow().to_pandas().set_index(["duration", "event"]).astype(float)
     return table.sort_index().set_axis(range(table.shape[1]), axis=1)
 

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +13,7 @@ from churnlake.functions.exact import exact_avg
 from churnlake.functions.expressions import col
 from churnlake.operators import order_stats as O
 from churnlake.operators.mlprep import centre_and_scale
+from churnlake.operators.moments import pair_sums
 from churnlake.sources.tables import ShopTables
 from churnlake.session import small_frame
 
@@ -140,52 +141,24 @@ def outliers(df: DataFrame, columns: Sequence[str], accurate: bool = True) -> Da
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair of columns, over rows where both are present.
 
-    A first pass centres the columns; the second adds up their products, so that the
-    sums stay small and plain (one per pair) where no column has missing values.
-    NULL where a column is constant.
+    A first pass finds the columns' centres; the second adds up the products of centred values,
+    so that the sums stay small. NULL where a column is constant.
     """
-    first = df.agg(F.count(F.lit(1)), *[
-        F.struct(F.count(v).alias("n"), F.avg(v).alias("mean"),
-                 F.min(v).alias("lo"), F.max(v).alias("hi"))
+    first = df.agg(*[
+        F.struct(F.avg(v).alias("mean"), F.min(v).alias("lo"), F.max(v).alias("hi"))
         for v in (col(c).cast("double") for c in columns)
     ]).first()
-    seen = dict(zip(columns, first[1:]))
-    gappy = {c for c in columns if seen[c]["n"] < first[0]}
-    flat = {c for c in columns if seen[c]["lo"] == seen[c]["hi"]}
-    moved = df.select(*[(col(c).cast("double") - F.lit(seen[c]["mean"])).alias(f"x{i}")
-                        for i, c in enumerate(columns)])
-    place = {c: f"x{i}" for i, c in enumerate(columns)}
-
-    def within(c: str, other: str, value: Column) -> Column:
-        """A value over the rows that have the other column too."""
-        return F.when(F.col(place[other]).isNotNull(), value) if other in gappy else value
-
-    def paired(a: str, b: str) -> Column:
-        if a in flat or b in flat:
-            return F.lit(None).cast("double")
-        x, y = F.col(place[a]), F.col(place[b])
-        n = F.count(within(a, b, x))
-        sx, sy = F.sum(within(a, b, x)), F.sum(within(b, a, y))
-        xx = F.sum(within(a, b, x * x)) - F.try_divide(sx * sx, n)
-        yy = F.sum(within(b, a, y * y)) - F.try_divide(sy * sy, n)
-        xy = F.sum(x * y) - F.try_divide(sx * sy, n)
-        return F.try_divide(xy, F.sqrt(F.greatest(xx, F.lit(0.0)) * F.greatest(yy, F.lit(0.0))))
-
-    pairs = [*combinations(columns, 2), *[(c, c) for c in columns]]
-    values = moved.agg(F.array(*[
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), paired(a, b).alias("corr"))
-        for a, b in pairs
-    ]).alias("rows")).select(F.inline(F.col("rows")))
-
-    def ordered(first: str, second: str) -> Column:
-        return F.struct(
-            F.col(first).alias("variable_a"), F.col(second).alias("variable_b"), F.col("corr")
-        )
-
-    mirrored = F.when(F.col("a") == F.col("b"), F.array(ordered("a", "b"))).otherwise(
-        F.array(ordered("a", "b"), ordered("b", "a"))
-    )
-    return values.select(F.inline(mirrored))
+    flat = np.array([seen["lo"] == seen["hi"] for seen in first])
+    sums = pair_sums(df, columns, [seen["mean"] or 0.0 for seen in first])
+    with np.errstate(divide="ignore", invalid="ignore"):
+        spread = np.maximum(sums["xx"] - sums["x"] ** 2 / sums["n"], 0.0)
+        shared = sums["xy"] - sums["x"] * sums["x"].T / sums["n"]
+        found = shared / np.sqrt(spread * spread.T)
+    known = (sums["n"] > 0) & (spread * spread.T != 0) & ~(flat[:, None] | flat)
+    rows = [(a, b, float(found[i, j]) if known[i, j] else None)
+            for i, a in enumerate(columns) for j, b in enumerate(columns)]
+    return small_frame(df.sparkSession, rows,
+                       "variable_a STRING, variable_b STRING, corr DOUBLE")
 
 
 def crosstab(df: DataFrame, columns: Sequence[str], target: str = "churn") -> DataFrame:

@@ -16,6 +16,7 @@ from churnlake.operators import mlprep as M
 from churnlake.operators import models as L
 from churnlake.operators import segment as G
 from churnlake.operators.features import user_features
+from churnlake.operators.moments import time_sums
 from churnlake.registry import star_tables as T
 from churnlake.registry.base import query, r6, rounded
 from churnlake.registry.profile_queries import SEGMENT, SPLIT_SQL, assigned, training_rows
@@ -276,7 +277,7 @@ def l6_duration_sums(spark: SparkSession, folder: str) -> DataFrame:
     """What the first Newton step adds up, with plain covariates (mean 0, scale 1)."""
     ref = T.shop_ref(spark, folder)
     rows, _ = cox.cox_frame(T.shop_features(spark, folder), ref, HORIZON_DAYS)
-    return cox.duration_sums(rows, "duration", "event", COX_COUNTS, [0.0] * 3, [1.0] * 3, [0.0] * 3)
+    return time_sums(rows, "duration", "event", COX_COUNTS, [0.0] * 3, [1.0] * 3, [0.0] * 3)
 
 
 @query("l6_cox_model")
