@@ -193,16 +193,24 @@ def item_categories(order_items: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
+def bought_categories(orders: DataFrame, order_items: DataFrame,
+                      products: DataFrame) -> DataFrame:
+    """Distinct (user, category) pairs of the sold items."""
+    return _bought(orders, order_items, products).select("user_id", "category_id").distinct()
+
+
+def _bought(orders: DataFrame, order_items: DataFrame, products: DataFrame) -> DataFrame:
+    return item_categories(order_items, products).join(
+        orders.select("order_id", "user_id"), "order_id", "left"
+    ).where(F.col("user_id").isNotNull())
+
+
 def category_diversity(orders: DataFrame, order_items: DataFrame, products: DataFrame,
                        approximate: bool = False) -> DataFrame:
     """Number of distinct categories each user bought from."""
-    bought = item_categories(order_items, products).join(
-        orders.select("order_id", "user_id"), "order_id", "left"
-    ).where(F.col("user_id").isNotNull())
     if approximate:
         count = F.approx_count_distinct("category_id")
-        return bought.groupBy("user_id").agg(count.alias("category_diversity"))
-    return (
-        bought.select("user_id", "category_id").distinct()
-        .groupBy("user_id").agg(F.count(F.lit(1)).alias("category_diversity"))
-    )
+        return _bought(orders, order_items, products).groupBy("user_id").agg(
+            count.alias("category_diversity"))
+    return bought_categories(orders, order_items, products).groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("category_diversity"))

@@ -177,3 +177,20 @@ def cox_fit(df: DataFrame, covariates: Sequence[str], duration: str = "duration"
         "coef_high DOUBLE, hr_low DOUBLE, hr_high DOUBLE, z DOUBLE, p_value DOUBLE, "
         "neg_log2_p DOUBLE",
     )
+
+
+def cox_gradient(df: DataFrame, fitted: DataFrame, duration: str = "duration",
+                 event: str = "event") -> DataFrame:
+    """Slope of the log-likelihood per row at fitted coefficients, by standardised covariate.
+
+    ``fitted`` is the table of ``cox_fit`` (one line per covariate). Zero at a maximum.
+    """
+    lines = fitted.select("covariate", "coef").collect()
+    names = [r["covariate"] for r in lines]
+    scaler = M.fit_scaler(df, names)
+    means, scales = ([f[c] for c in names] for f in (scaler.means, scaler.scales))
+    beta = np.array([r["coef"] for r in lines]) * scales
+    sums = _duration_sums(df, duration, event, names, np.array(means), np.array(scales), beta)
+    _, gradient, _ = _likelihood(sums, beta)
+    rows = [(c, float(g) / float(sums[0].sum())) for c, g in zip(names, gradient)]
+    return small_frame(df.sparkSession, rows, "covariate STRING, gradient DOUBLE")

@@ -301,3 +301,24 @@ def pr_marker(scores: DataFrame, threshold: float, by: Sequence[str] = ()) -> Da
     """Precision and recall at one threshold, to mark on the curve."""
     rows = metrics_at(scores, threshold, by, ("precision", "tpr"))
     return rows.select(*by, "threshold", "precision", F.col("tpr").alias("recall"))
+
+
+def pr_markers(scores: DataFrame, picks: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Precision and recall at each picked threshold of a group, to mark on its curve.
+
+    ``picks`` holds ``by``, ``criterion`` and ``threshold``: a line per group and criterion, as
+    ``best_thresholds`` returns. Precision is 0 where nothing reaches the threshold.
+    """
+    key = list(by) or ["__all"]
+    every = [df if by else df.withColumn("__all", F.lit(1)) for df in (scores, picks)]
+    wanted = every[1].groupBy(*key).agg(
+        F.collect_list(F.struct("criterion", "threshold")).alias("picks"))
+    rows = every[0].join(F.broadcast(wanted), key)
+    hit, pos = F.col("score") >= F.col("pick.threshold"), F.col("label") == 1
+    sums = rows.select(*by, "score", "label", F.explode("picks").alias("pick")).groupBy(
+        *by, F.col("pick.criterion").alias("criterion"), F.col("pick.threshold").alias("threshold")
+    ).agg(F.count_if(hit & pos).alias("tp"), F.count_if(hit).alias("hits"),
+          F.count_if(pos).alias("p"))
+    share = {"precision": F.try_divide("tp", "hits"), "recall": F.try_divide("tp", "p")}
+    return sums.select(*by, "criterion", "threshold",
+                       *[F.coalesce(v, F.lit(0.0)).alias(n) for n, v in share.items()])

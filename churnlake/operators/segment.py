@@ -34,12 +34,24 @@ def scaled_vectors(df: DataFrame, features: Sequence[str] = S.SEGMENT_FEATURES,
     return assembler.transform(df.withColumns(z))
 
 
-def kmeans(vectors: DataFrame, k: int = 4, seed: int = 42,
-           cluster: str = "kmeans_cluster") -> tuple[DataFrame, KMeansModel]:
-    model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol=cluster).fit(vectors)
+def kmeans(vectors: DataFrame, k: int = 4, seed: int = 42, cluster: str = "kmeans_cluster",
+           max_iter: int = 300) -> tuple[DataFrame, KMeansModel]:
+    model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features",
+                   predictionCol=cluster).fit(vectors)
     return model.transform(vectors), model
 
 
+def centre_gaps(labelled: DataFrame, model: KMeansModel, cluster: str) -> DataFrame:
+    """Rows of each cluster and the largest gap of a coordinate between centre and members' mean."""
+    x, centres = vector_to_array("features"), model.clusterCenters()
+    held = F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in centres])
+    means = F.array(*[F.avg(x[i]) for i in range(len(centres[0]))])
+    found = labelled.groupBy(col(cluster).alias("cluster")).agg(
+        F.count(F.lit(1)).alias("n"), means.alias("mean"))
+    gaps = F.zip_with("mean", held[F.col("cluster")], lambda a, b: F.abs(a - b))
+    return found.select("cluster", "n", F.array_max(gaps).alias("gap"))
+
+
 def nearest_centre(values: Sequence[Column], centres: Sequence[Sequence[float]]) -> Column:
     """Index of the nearest fixed centre, the first among equals."""
     distances = [

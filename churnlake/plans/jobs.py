@@ -139,11 +139,13 @@ def drivers(tables: ShopTables, out: str, ref: datetime | None = None,
     fitted = L.fit_models(_stage(prepared, f"{out}/prepared"), design, specs, "user_id")
     scores = _stage(fitted.scores, f"{out}/scores")
     sweep = V.threshold_sweep(scores, S.FULL_GRID, ["model"])
+    best = V.best_thresholds(sweep, ["model"])
     results = {
         "auc": V.auc(scores, ["model"]),
         "average_precision": V.average_precision(scores, ["model"]),
         "threshold_sweep": sweep,
-        "best_thresholds": V.best_thresholds(sweep, ["model"]),
+        "best_thresholds": best,
+        "pr_markers": V.pr_markers(scores, best, ["model"]),
         "roc": V.roc_points(scores, ["model"]),
         "pr": V.pr_points(scores, ["model"]),
     }

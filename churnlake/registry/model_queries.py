@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from churnlake import schema as S
@@ -202,6 +204,24 @@ def l1_logistic_scores(spark: SparkSession, folder: str) -> DataFrame:
     return fitted_drivers(spark, folder, "logistic").scores
 
 
+def _zeros(key: str, names: Sequence[str], value: str) -> str:
+    return f"SELECT unnest({list(names)}) AS {key}, CAST(0 AS DOUBLE) AS {value}"
+
+
+DRIVER_COLUMNS = [*S.DRIVER_NUMERIC, "gender_MALE", "age_group_25-34", "age_group_35-44",
+                  "age_group_45+", "age_group_<25", "used_coupon_True"]
+
+
+@query("l1_gradient", _zeros("feature", DRIVER_COLUMNS, "gradient"))
+def l1_gradient(spark: SparkSession, folder: str) -> DataFrame:
+    """Zero slope of the penalised loss: the fit is the minimum."""
+    prepared, design = L.driver_design(T.shop_features(spark, folder))
+    rows, spec = stage(prepared, "prepared"), L.DRIVER_MODELS["logistic"]
+    fitted = L.fit_models(rows, design, {"logistic": spec}, "user_id")
+    slopes = L.logistic_gradient(fitted, rows.where("split = 'train'"), spec)
+    return slopes.select("feature", F.round(F.abs("gradient"), 3).alias("gradient"))
+
+
 @query("l2_coefficients")
 def l2_coefficients(spark: SparkSession, folder: str) -> DataFrame:
     table = L.coefficients(fitted_drivers(spark, folder, "logistic"))
@@ -287,6 +307,17 @@ def l6_cox_model(spark: SparkSession, folder: str) -> DataFrame:
     return cox.cox_fit(rows, covariates)
 
 
+@query("l6_gradient", _zeros("covariate", [*S.DRIVER_NUMERIC, "gender_MALE", "used_coupon"],
+                             "gradient"))
+def l6_gradient(spark: SparkSession, folder: str) -> DataFrame:
+    """Zero slope of the partial likelihood: the fit is the maximum."""
+    ref = T.shop_ref(spark, folder)
+    frame, covariates = cox.cox_frame(T.shop_features(spark, folder), ref, HORIZON_DAYS)
+    rows = stage(frame, "cox-frame")
+    slopes = cox.cox_gradient(rows, cox.cox_fit(rows, covariates))
+    return slopes.select("covariate", F.round(F.abs("gradient"), 4).alias("gradient"))
+
+
 def segment_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return keep(G.scaled_vectors(T.shop_features(spark, folder), SEGMENT))
 
@@ -297,6 +328,18 @@ def l7_kmeans(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("user_id", "kmeans_cluster")
 
 
+@query("l7_centres", f"""
+SELECT CAST(unnest(range(4)) AS INT) AS cluster, CAST(0 AS DOUBLE) AS gap, count(*) AS total
+FROM s_features""")
+def l7_centres(spark: SparkSession, folder: str) -> DataFrame:
+    """Centres are the means of their members, and the members are all rows."""
+    rows, model = G.kmeans(segment_vectors(spark, folder), 4)
+    gaps = G.centre_gaps(rows, model, "kmeans_cluster")
+    every = Window.partitionBy(F.lit(0))     # one line per cluster
+    return gaps.select("cluster", F.round("gap", 3).alias("gap"),
+                       F.sum("n").over(every).alias("total"))
+
+
 @query("l7_nearest_centre", "SELECT user_id, CAST(cluster AS INT) AS cluster FROM seg_assigned")
 def l7_nearest_centre(spark: SparkSession, folder: str) -> DataFrame:
     return assigned(spark, folder).select("user_id", "cluster")
@@ -358,6 +401,20 @@ def l11_pca(spark: SparkSession, folder: str) -> DataFrame:
     return G.pca_coordinates(segment_vectors(spark, folder))[0]
 
 
+@query("l11_covariance", "\nUNION ALL\n".join(
+    f"SELECT {i} AS i, {j} AS j, round(coalesce(covar_samp(z{i + 1}, z{j + 1}), 0) "
+    "/ (var_samp(z1) + var_samp(z2) + var_samp(z3) + var_samp(z4)), 6) AS share "
+    "FROM seg_scaled" for i in range(4) for j in range(4)))
+def l11_covariance(spark: SparkSession, folder: str) -> DataFrame:
+    """All components' loadings and shares rebuild the covariance, as shares of all variance."""
+    table = G.pca_coordinates(segment_vectors(spark, folder), 4)[1]
+    left = table.select("component", F.col("feature").alias("i"),
+                        (F.col("loading") * F.col("explained")).alias("a"))
+    right = table.select("component", F.col("feature").alias("j"), F.col("loading").alias("b"))
+    share = F.round(F.sum(F.col("a") * F.col("b")), 6) + F.lit(0.0)
+    return left.join(right, "component").groupBy("i", "j").agg(share.alias("share"))
+
+
 @query("l12_multi_model")
 def l12_multi_model(spark: SparkSession, folder: str,
                     specs: Specs = L.TRAINING_MODELS) -> DataFrame:
@@ -606,3 +663,37 @@ FROM (SELECT model, {COUNTS_AT.format(t='0.62::DOUBLE')} FROM scores GROUP BY mo
 def e16_pr_marker(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(V.pr_marker(T.model_scores(spark, folder), 0.62, MODEL),
                    ["precision", "recall"])
+
+
+CTES["picked"] = """
+SELECT model, criterion, threshold FROM (SELECT DISTINCT model FROM scores)
+CROSS JOIN (VALUES ('low', 0.25::DOUBLE), ('high', 0.75::DOUBLE), ('none', 2.0::DOUBLE))
+  AS v(criterion, threshold)"""
+
+
+@query("e16_pr_markers", """
+SELECT model, criterion, threshold,
+       coalesce(count(*) FILTER (score >= threshold AND label = 1)::DOUBLE
+                / nullif(count(*) FILTER (score >= threshold), 0), 0) AS precision,
+       coalesce(count(*) FILTER (score >= threshold AND label = 1)::DOUBLE
+                / nullif(count(*) FILTER (label = 1), 0), 0) AS recall
+FROM scores JOIN picked USING (model) GROUP BY model, criterion, threshold""")
+def e16_pr_markers(spark: SparkSession, folder: str) -> DataFrame:
+    scores = T.model_scores(spark, folder)
+    marks = F.array(*[F.struct(F.lit(c).alias("criterion"), F.lit(t).alias("threshold"))
+                      for c, t in (("low", 0.25), ("high", 0.75), ("none", 2.0))])
+    picks = scores.select("model").distinct().select("model", F.inline(marks))
+    return V.pr_markers(scores, picks, MODEL)
+
+
+WIDE_GRID = (-0.25, 1.25, 13)     # eighths, beyond both ends
+
+
+@query("f13_clipped_grid", f"""
+SELECT model, threshold, {COUNTS_AT.format(t='threshold')}
+FROM scores CROSS JOIN (SELECT DISTINCT least(greatest(-0.25::DOUBLE + i * 0.125::DOUBLE, 0), 1)
+                          AS threshold FROM (SELECT unnest(range(13)) AS i))
+GROUP BY model, threshold""")
+def f13_clipped_grid(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts at every point of a grid that is clipped to [0, 1], each point once."""
+    return V.threshold_sweep(T.model_scores(spark, folder), WIDE_GRID, MODEL, ())

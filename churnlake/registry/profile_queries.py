@@ -15,12 +15,14 @@ from churnlake.operators import explore as X
 from churnlake.operators import mlprep as M
 from churnlake.operators import ranking as R
 from churnlake.operators import segment as G
+from churnlake.operators import sketches as K
 from churnlake.operators import snapshot as N
+from churnlake.operators.joins import lookup
 from churnlake.registry import star_tables as T
 from churnlake.registry.base import b, longs, query, r6, rounded
 from churnlake.registry.sql import CENTRES, CTES, NUMERIC, exact_avg, exact_sum
 from churnlake.registry.star_tables import HORIZON_DAYS as H
-from churnlake.session import keep
+from churnlake.session import keep, stage
 
 SEGMENT = list(S.SEGMENT_FEATURES)
 
@@ -159,6 +161,31 @@ def a13_describe(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(table, ["std", "min", "max", "q1", "median", "q3"], 4)
 
 
+@query("a13_merged_sketches", """
+SELECT gender, count(*) AS n, count(DISTINCT user_id) AS buyers, TRUE AS buyers_close,
+       TRUE AS ranks_close
+FROM s_orders JOIN s_users USING (user_id) GROUP BY gender""")
+def a13_merged_sketches(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily sketches merged over all days, held against exact counts and ranks of all rows."""
+    tables = T.shop(spark, folder)
+    rows = keep(lookup(tables.orders.select("user_id", "order_date", "total_amount"),
+                       tables.users.select("user_id", "gender"), "user_id", "inner"))
+    days = K.daily_sketches(rows, "order_date", ["gender"], ["user_id"], ["total_amount"])
+    found = K.sketch_summary(K.merged_sketches(stage(days, "day-sketches"), ["gender"]))
+    found = found.select("gender", F.col("n").alias("kept"), "user_id_distinct",
+                         "total_amount_quantiles")
+    below = [F.count_if(F.col("total_amount") <= F.col("total_amount_quantiles")[i]) / F.count("*")
+             for i in range(3)]
+    exact = rows.join(F.broadcast(found), "gender").groupBy("gender").agg(
+        F.count("*").alias("n"), F.count_distinct("user_id").alias("buyers"),
+        F.max("kept").alias("kept"), F.max("user_id_distinct").alias("estimate"),
+        F.greatest(*[F.abs(b - p) for b, p in zip(below, (0.25, 0.5, 0.75))]).alias("off"))
+    return exact.select(
+        "gender", "n", "buyers",
+        (F.abs(F.col("estimate") / F.col("buyers") - 1) < 0.05).alias("buyers_close"),
+        ((F.col("off") < 0.03) & (F.col("kept") == F.col("n"))).alias("ranks_close"))
+
+
 @query("a14_missing", """
 SELECT variable, count(*) FILTER (value IS NULL) AS missing_count,
        round(avg(CASE WHEN value IS NULL THEN 1 ELSE 0 END), 4) AS missing_ratio

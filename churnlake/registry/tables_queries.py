@@ -16,12 +16,15 @@ from churnlake.operators import cox
 from churnlake.operators import explore as X
 from churnlake.operators import mlprep as M
 from churnlake.operators import snapshot as N
-from churnlake.operators.features import ZERO_FILL, user_features, wide_assembly
+from churnlake.operators.features import (
+    ZERO_FILL, features_of_days, user_features, wide_assembly,
+)
 from churnlake.registry import star_tables as T
 from churnlake.registry.base import b, longs, query, r6, rounded
 from churnlake.registry.star_tables import HORIZON_DAYS as H
 from churnlake.session import shared_folder, stage
 from churnlake.sources import tables as IO
+from churnlake.sources.user_days import write_user_days
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -434,6 +437,15 @@ def j1_feature_assembly(spark: SparkSession, folder: str) -> DataFrame:
     return _plain_features(user_features(tables, A.reference_date(tables), horizon_days=H))
 
 
+@query("j1_feature_assembly_of_days", FEATURE_SQL + "FROM s_features")
+def j1_feature_assembly_of_days(spark: SparkSession, folder: str) -> DataFrame:
+    """The features again, from facts stored by user and day in buckets of users."""
+    tables = T.shop(spark, folder)
+    name = f"user_days_{uuid.uuid4().hex}"
+    days = write_user_days(tables, f"{shared_folder(spark)}/{name}", name, 8)
+    return _plain_features(features_of_days(days, A.reference_date(tables), horizon_days=H))
+
+
 @query("j1_feature_assembly_events", FEATURE_SQL + "FROM e_features")
 def j1_feature_assembly_events(spark: SparkSession, folder: str) -> DataFrame:
     tables = T.event_shop(spark, folder)

@@ -13,7 +13,7 @@ from tests.conftest import TESTDATA
 from churnlake.registry import ORACLE, QUERIES  # noqa: E402
 
 # The operator inventory: S1-S11, P1-P16, J1-J4, A1-A25, W1-W6, T1-T5, F, H, M, L, E.
-INVENTORY = {"s": 11, "p": 16, "j": 4, "a": 25, "w": 6, "t": 5, "h": 3, "m": 6, "l": 12, "e": 16}
+INVENTORY = {"s": 11, "p": 16, "j": 4, "a": 25, "w": 6, "t": 5, "f": 14, "h": 3, "m": 6, "l": 12, "e": 16}
 # Fits without an SQL form; each is held against a computation of our own in test_models.
 ROWS_ONLY = {"h_p_values", "l1_logistic_scores", "l2_coefficients", "l3_forest_scores",
              "l4_boosting_scores", "l5_feature_importance", "l6_cox_model", "l7_kmeans",
@@ -28,6 +28,9 @@ def duck():
 
 def test_every_operator_is_registered():
     ids = {m.group(1) for name in QUERIES if (m := re.match(r"([a-z]\d+)_", name))}
+    for name in QUERIES:                                # f5_f11_conditions covers F5 to F11
+        if m := re.match(r"([a-z])(\d+)_\1(\d+)_", name):
+            ids |= {f"{m.group(1)}{i}" for i in range(int(m.group(2)), int(m.group(3)) + 1)}
     missing = {f"{k}{i}" for k, n in INVENTORY.items() for i in range(1, n + 1)} - ids
     assert missing == set()
 
