@@ -102,3 +102,17 @@ def test_models_do_not_mix(scored, spark):
     assert areas["a"] + areas["b"] == pytest.approx(1.0)
     table = V.compare_models(both).orderBy(F.col("roc_auc").desc()).collect()
     assert [r["model"] for r in table] == ["a", "b"]
+
+
+def test_markers_at_picked_thresholds(spark):
+    rows = [("a", 1, 0.9), ("a", 0, 0.6), ("a", 1, 0.5), ("b", 0, 0.7), ("b", 1, None)]
+    scores = spark.createDataFrame(rows, "model STRING, label INT, score DOUBLE")
+    picks = spark.createDataFrame(
+        [("a", "f1", 0.5), ("a", "accuracy", 0.9), ("b", "f1", 0.7), ("b", "accuracy", 2.0)],
+        "model STRING, criterion STRING, threshold DOUBLE")
+    found = {(r["model"], r["criterion"]): (r["precision"], r["recall"])
+             for r in V.pr_markers(scores, picks, ["model"]).collect()}
+    assert found == {("a", "f1"): (2 / 3, 1.0), ("a", "accuracy"): (1.0, 0.5),
+                     ("b", "f1"): (0.0, 0.0), ("b", "accuracy"): (0.0, 0.0)}
+    whole = V.pr_markers(scores, picks.where("model = 'a'").drop("model")).collect()
+    assert {r["criterion"]: r["recall"] for r in whole} == {"f1": 2 / 3, "accuracy": 1 / 3}
