@@ -17,7 +17,7 @@ from churnlake import schema as S
 from churnlake.functions.expressions import col
 from churnlake.operators import mlprep as M
 from churnlake.operators.silhouette import cells_of, euclidean_silhouette
-from churnlake.session import drop_staged, kept, small_frame, stage
+from churnlake.session import drop_staged, kept, small_frame, spread, stage
 
 #: Cells that Ward merges; with no more distinct points, it works on these.
 MICRO_CLUSTERS = 2048
@@ -69,7 +69,8 @@ def silhouettes_by_k(vectors: DataFrame, ks: Sequence[int] = (3, 4, 5, 6), seed:
                      key: str = "user_id") -> DataFrame:
     """Silhouettes over all rows for several k: squared Euclidean, and Euclidean with its error."""
     rows = []
-    with kept(vectors.select(key, "features")) as points:
+    # k-means and silhouettes work on narrow rows, so that their bytes would be few tasks
+    with kept(spread(vectors.select(key, "features"), vectors.count())) as points:
         for k in ks:
             labelled, _ = kmeans(points, k, seed, "cluster")
             with kept(labelled) as held:

@@ -21,11 +21,11 @@ from pyspark.sql import functions as F
 
 from churnlake.functions.exact import exact_avg
 from churnlake.functions.expressions import col
-from churnlake.session import drop_staged, stage
+from churnlake.session import drop_staged, spread, stage
 
 #: Cells that every row is compared with; more make the error smaller and the passes longer.
 MAX_CELLS = 4096
-_ROWS = 256
+_ROWS = 32
 
 
 class CellTree:
@@ -141,9 +141,14 @@ def row_intervals(cluster: np.ndarray, x: np.ndarray, cells: Cells, of: np.ndarr
     starts = np.searchsorted(of, np.arange(len(sizes)))
     square = np.zeros((len(x), len(of)))
     for j in range(x.shape[1]):
-        square += (x[:, [j]] - cells.centre[:, j]) ** 2
-    bounds = [np.add.reduceat(np.sqrt(s) * cells.n, starts, axis=1)
-              for s in (square, square + cells.radius)]
+        gap = x[:, [j]] - cells.centre[:, j]
+        gap *= gap
+        square += gap
+    bounds = []
+    for far in (square + cells.radius, square):      # in place, so the plain ones last
+        np.sqrt(far, out=far)
+        far *= cells.n
+        bounds.insert(0, np.add.reduceat(far, starts, axis=1))
     row = np.arange(len(x))
     own = [b[row, cluster] / np.maximum(sizes[cluster] - 1, 1) for b in bounds]
     other = [b / sizes for b in bounds]
@@ -166,9 +171,9 @@ def euclidean_silhouette(labelled: DataFrame, cluster: str, features: str = "fea
     has 0; rows with a null cluster are a cluster; rows without features are left out. An
     empty table has a null silhouette. More clusters than cells raise an error.
     """
-    points = stage(labelled.select(col(cluster).alias("tag"),
-                                   vector_to_array(features).alias("x")).filter("x IS NOT NULL"),
-                   "silhouette-points")
+    points = labelled.select(col(cluster).alias("tag"),
+                             vector_to_array(features).alias("x")).filter("x IS NOT NULL")
+    points = stage(spread(points, labelled.count()), "silhouette-points")
     found = points.groupBy("tag").agg(F.count(F.lit(1)).alias("n"),
                                       F.max(F.size("x")).alias("width")).limit(max_cells + 1)
     found = found.toArrow()

@@ -104,3 +104,21 @@ def test_ward_equals_ward_over_rows(spark):
     assert table.count() == 11 and few.select("hclust_cluster").distinct().count() == 3
     none, table = G.ward(frame(spark, x, range(len(x))).limit(0), 3)
     assert none.count() == 0 and table.count() == 0
+
+
+def test_rows_with_much_work_are_spread(spark, monkeypatch):
+    """A file of narrow rows was one task, however many rows met all cells in it."""
+    from churnlake.operators import silhouette
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.sql import functions as F
+
+    rows = spark.range(0, 70_000, 1, 1).select(
+        (F.col("id") % 2).cast("int").alias("cluster"),
+        array_to_vector(F.array((F.col("id") % 7).cast("double"))).alias("features"))
+    held, plain = [], silhouette.stage
+    monkeypatch.setattr(silhouette, "stage", lambda df, name: held.append(df) or plain(df, name))
+    got = silhouette.euclidean_silhouette(rows, "cluster").first()
+    assert got["n"] == 70_000 and got["error"] == 0
+    assert held[0].rdd.getNumPartitions() == 3
+    few = silhouette.euclidean_silhouette(rows.limit(1000), "cluster").first()
+    assert few["n"] == 1000 and held[2].rdd.getNumPartitions() == 1
