@@ -132,6 +132,44 @@ def test_op2_probabilities_sum_to_one(spark):
         assert v == 24 and mass + unknown == pytest.approx(1.0, abs=1e-9)
 
 
+def test_op2_every_word_is_a_context_of_its_own(spark):
+    """Two rare words of like ending are told apart by what follows them."""
+    rows = [(i, f"{'north' if i % 2 else 'worth'} {'apple' if i % 2 else 'stone'}")
+            for i in range(40)]
+    rows += [(100 + i, f"w{i} x{i}") for i in range(40)]
+    held = [(k, f"{a} {b}") for k, (a, b) in enumerate(
+        [("north", "apple"), ("north", "stone"), ("worth", "stone"), ("worth", "apple")], 1000)]
+    frame = spark.createDataFrame(rows + held, "doc_id BIGINT, text STRING")
+    got = collected(language_model.fit_and_score(frame, F.col("doc_id") >= 1000, frequent=0))
+    assert got[1000]["score"] > got[1001]["score"] + 0.7
+    assert got[1002]["score"] > got[1003]["score"] + 0.7
+
+
+def test_op2_probabilities_after_a_word_sum_to_one(spark):
+    """Over a vocabulary in which all words follow a word somewhere, held out or not."""
+    rng, names = np.random.default_rng(4), [f"w{i}{'abc'[i % 3]}" for i in range(30)]
+    rows = [(i, " ".join(rng.choice(names[:20], 30))) for i in range(30)]
+    rows += [(1000 + i, f"{a} {b}") for i, (a, b) in enumerate(
+        (a, b) for a in (names[0], names[25]) for b in [*names, ""])]
+    frame = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    model = language_model.fit(frame, F.col("doc_id") >= 1000, frequent=2)
+    seats = {r["part"]: r.asDict() for r in model.seats.collect()}
+    merged = [r.asDict() for r in model.parts.filter("part >= 0 AND block < 0").collect()]
+    mass, met, unknown = defaultdict(float), Counter(), {}
+    for row in merged:
+        pairs, values = language_model.Pairs(row), language_model._risen(row["unders"])
+        p = language_model.Part(seats[row["part"]]).probabilities(pairs, model.samples)
+        for context, seen, x in zip(values[pairs.context], pairs.counts[pairs.word], p):
+            if seen:
+                mass[context] += x
+                met[context] += 1
+            else:
+                unknown[context] = x
+    whole = [c for c in mass if met[c] == model.totals["v"] and c in unknown]
+    assert model.totals["v"] == 21 and len(whole) == 2
+    assert all(mass[c] + unknown[c] == pytest.approx(1.0, abs=1e-9) for c in whole)
+
+
 def seatings(c, d):
     """Weights of 1..c tables by going through all seatings, customer by customer."""
     found = {(1,): 1.0}
