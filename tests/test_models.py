@@ -140,6 +140,25 @@ def test_models_rank_better_than_chance_and_report_importance(churners):
     assert L.top_importances(fitted, "rf", 1).first()["feature"] == "p"
 
 
+def test_several_models_compare_with_a_small_driver(spark):
+    """The forest of several models was collected, and sent again with the code of every scoring task."""
+    from churnlake.operators import evaluate as V
+
+    rows = spark.range(4000).select(
+        F.col("id").alias("user_id"), *[F.rand(i).alias(c) for i, c in enumerate("pqr")],
+        (F.rand(9) > 0.5).cast("int").alias("churn"))
+    specs, conf = {"rf": L.Forest(30, 2), "gbt": L.Boosting(5, 3)}, spark.sparkContext._jsc.sc().conf()
+    conf.set("spark.driver.maxResultSize", "300k")
+    try:
+        prepared, design = L.prepare(rows, "user_id", "churn", ["p", "q", "r"])
+        fitted = L.fit_models(prepared, design, specs, "user_id", carry=["q"])
+        table = V.compare_models(fitted.scores).collect()
+    finally:
+        conf.remove("spark.driver.maxResultSize")
+    assert {r["model"] for r in table} == {"rf", "gbt"}
+    assert fitted.scores.groupBy("model").count().toPandas()["count"].nunique() == 1
+
+
 def test_carried_columns_are_raw_not_scaled(churners):
     prepared, design = L.prepare(churners, "user_id", "churn", ["p", "q", "r"])
     fitted = L.fit_models(prepared, design, {"m": L.Logistic()}, "user_id", carry=["q"])
